@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import Day, day
-from ..functions.skew import dense_index, names, salted_lookup
+from ..functions.skew import dense_index, names, salted_lookup, stored_lookup
+from ..functions.tables import durable
 from ..schema import ITEM_CODE_COLUMNS, ITEM_FLAG_COLUMNS, Dataset
 
 # Product types that mark an article of the mixed departments as female.
@@ -146,13 +147,16 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def label_encode(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Replace every listed column by its label code."""
-    codes = label_codes(df, columns)
+    codes = durable(label_codes(df, columns))
+    sizes = {r["feature"]: r["n"] for r in  # one row per column
+             codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         lookup = codes.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code"))
         out = out.withColumn("_value", F.col(c).cast("string"))
-        out = salted_lookup(out, lookup, "_value", key).withColumn(c, F.col("_code")).drop("_value", "_code")
+        out = stored_lookup(out, lookup, "_value", key, sizes.get(c, 0))
+        out = out.withColumn(c, F.col("_code")).drop("_value", "_code")
     return out.select(*df.columns)
 
 
