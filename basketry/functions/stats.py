@@ -75,7 +75,8 @@ def _horner(coefficients: list[float], x: Column) -> Column:
 
 
 def normal_quantile(p: Column) -> Column:
-    """Inverse of the standard normal distribution function, clipped near 0 and 1."""
+    """Inverse of the standard normal distribution function, clipped near 0 and 1; null stays null."""
+    given = p
     p = F.greatest(F.lit(NORMAL_CLIP), F.least(F.lit(1 - NORMAL_CLIP), p))
     q = p - 0.5
     centre = 0.180625 - q * q
@@ -84,9 +85,10 @@ def normal_quantile(p: Column) -> Column:
     outer = F.when(
         r <= 5.0, _horner(AS241_MIDDLE_NUM, middle) / _horner(AS241_MIDDLE_DEN, middle),
     ).otherwise(_horner(AS241_TAIL_NUM, tail) / _horner(AS241_TAIL_DEN, tail))
+    inner = q * _horner(AS241_CENTRE_NUM, centre) / _horner(AS241_CENTRE_DEN, centre)
     return F.when(
-        F.abs(q) <= 0.425, q * _horner(AS241_CENTRE_NUM, centre) / _horner(AS241_CENTRE_DEN, centre),
-    ).otherwise(F.when(q < 0, -outer).otherwise(outer))
+        given.isNotNull(),
+        F.when(F.abs(q) <= 0.425, inner).otherwise(F.when(q < 0, -outer).otherwise(outer)))
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

@@ -92,7 +92,8 @@ def cut_by_rate(
     A rule without any row of a label customer keeps its rows.
     """
     marked = mark_labels(candidates, labels, item_id)
-    marked = marked.withColumn("rank", average_rank(["method", "customer_id"], "score"))
+    # read by the search and by the cut
+    marked = durable(marked.withColumn("rank", average_rank(["method", "customer_id"], "score")))
     cuts = best_cuts(marked.filter("served"), min_rate)
     unseen = marked.groupBy("method").agg(F.max("served").alias("_seen")).filter(~F.col("_seen")).select(
         "method", F.lit(True).alias("keep_all"), F.lit(None).cast("double").alias("best_rank"))

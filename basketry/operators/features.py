@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Day, day, week_end
 from ..functions.skew import names, salted_lookup
 from ..functions.stats import average_rank_by_value
+from ..functions.tables import durable
 
 EPSILON = 1e-6
 
@@ -27,6 +28,11 @@ def _sales(base: DataFrame, unit: Sequence[str]) -> DataFrame:
     return rows
 
 
+def _count(rows: DataFrame) -> Column:
+    """Number of sales; tables that are already totalled carry them in ``n``."""
+    return F.sum("n") if "n" in rows.columns else F.count(F.lit(1))
+
+
 def _weeks_upto(week: Column, week_num: int) -> Column:
     """1..min(week, week_num): the weeks that look back at ``week``."""
     return F.explode(F.sequence(F.lit(1), F.least(week, F.lit(week_num)).cast("int")))
@@ -66,49 +72,71 @@ def full_sale(base: DataFrame, unit: str | Sequence[str], unique: bool = False,
     rows = _sales(base, unit)
     if unique:
         rows = rows.select("customer_id", "week", *unit).distinct()
-    weekly = rows.groupBy(*unit, "week").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("week") >= 1)
+    weekly = rows.groupBy(*unit, "week").agg(_count(rows).alias("_n")).filter(F.col("week") >= 1)
     spread = weekly.select(*unit, "_n", _weeks_upto(F.col("week"), week_num).alias("week"))
     return spread.groupBy(*unit, "week").agg(F.sum("_n").alias("sale"))
 
 
 def week_sale(
-    base: DataFrame, unit: str | Sequence[str], unique: bool = False, step: int = 0, week_num: int = 6
+    base: DataFrame, unit: str | Sequence[str], unique: bool = False, step: int | Sequence[int] = 0,
+    week_num: int = 6,
 ) -> DataFrame:
     """(unit.., week, sale): sales of the week ``step`` weeks earlier.
 
-    ``unique`` counts each customer once per unit, in the week of the earliest purchase.
+    ``unique`` counts each customer once per unit, in the week of the earliest purchase. Several
+    steps come from one pass, with a column ``step``.
     """
-    unit = names(unit)
-    rows = _sales(base, unit).filter(F.col("week") <= week_num + step + 2)
+    unit, steps = names(unit), [step] if isinstance(step, int) else list(step)
+    rows = _sales(base, unit).filter(F.col("week") <= week_num + max(steps) + 2)
+
+    def at(s: int, week: Column, n: Column) -> Column:
+        return F.struct(F.lit(s).alias("step"), (week - s).alias("week"), n.alias("_n"))
+
+    def seen(s: int) -> Column:
+        return F.when(F.col("week") <= week_num + s + 2, F.col("week"))
+
     if unique:
-        rows = rows.groupBy("customer_id", *unit).agg(F.max("week").alias("week"))
-    return (rows.groupBy(*unit, "week").agg(F.count(F.lit(1)).alias("sale"))
-            .withColumn("week", F.col("week") - step))
+        rows = rows.groupBy("customer_id", *unit).agg(*[F.max(seen(s)).alias(f"_w{s}") for s in steps])
+        spread = rows.groupBy(*unit, *[f"_w{s}" for s in steps]).agg(F.count(F.lit(1)).alias("_c"))
+        cells = [at(s, F.col(f"_w{s}"), F.col("_c")) for s in steps]
+    else:
+        spread = rows.groupBy(*unit, "week").agg(_count(rows).alias("_c"))
+        cells = [at(s, seen(s), F.col("_c")) for s in steps]
+    spread = spread.select(*unit, F.inline(F.array(*cells))).filter(F.col("week").isNotNull())
+    out = spread.groupBy(*unit, "week", "step").agg(F.sum("_n").alias("sale"))
+    return out.drop("step") if isinstance(step, int) else out
 
 
 def period_sale(
-    base: DataFrame, unit: str | Sequence[str], anchor: Day, days: int = 14, unique: bool = False,
-    rank: bool = False, norm: bool = False, week_num: int = 6,
+    base: DataFrame, unit: str | Sequence[str], anchor: Day, days: int | Sequence[int] = 14,
+    unique: bool = False, rank: bool = False, norm: bool = False, week_num: int = 6,
 ) -> DataFrame:
-    """(unit.., week, sale[, sale_rank][, sale_norm]): sales of the days + 1 days up to a week's end."""
-    unit = names(unit)
-    rows = _sales(base, unit)
+    """(unit.., week, sale[, sale_rank][, sale_norm]): sales of the days + 1 days up to a week's end.
+
+    Several periods come from one pass, with a column ``days``.
+    """
+    unit, periods = names(unit), [days] if isinstance(days, int) else list(days)
+    rows = _sales(base, unit).filter(F.col("t_dat").isNotNull())
     if unique:
         rows = rows.groupBy("customer_id", *unit).agg(F.min("t_dat").alias("t_dat"))
-    daily = rows.groupBy(*unit, "t_dat").agg(F.count(F.lit(1)).alias("_n"))
+    daily = rows.groupBy(*unit, "t_dat").agg(_count(rows).alias("_n"))
     gap = F.datediff(day(anchor), "t_dat")
-    first = F.greatest(F.lit(1), F.ceil((gap - days) / 7)).cast("int")
+    first = F.greatest(F.lit(1), F.ceil((gap - max(periods)) / 7)).cast("int")
     last = F.least(F.lit(week_num), F.floor(gap / 7)).cast("int")
-    spread = daily.withColumns({"_a": first, "_b": last}).filter(F.col("_a") <= F.col("_b")).select(
-        *unit, "_n", F.explode(F.sequence("_a", "_b")).alias("week"))
-    out = spread.groupBy(*unit, "week").agg(F.sum("_n").alias("sale"))
+    spread = daily.withColumns({"_a": first, "_b": last, "_gap": gap}).filter(F.col("_a") <= F.col("_b")).select(
+        *unit, "_n", "_gap", F.explode(F.sequence("_a", "_b")).alias("week"))
+    sums = spread.groupBy(*unit, "week").agg(*[
+        F.sum(F.when(F.col("_gap") <= 7 * F.col("week") + d, F.col("_n"))).alias(f"_s{d}") for d in periods])
+    cells = F.array(*[F.struct(F.lit(d).alias("days"), F.col(f"_s{d}").alias("sale")) for d in periods])
+    out = sums.select(*unit, "week", F.inline(cells)).filter(F.col("sale").isNotNull())
     if norm:
-        totals = out.groupBy("week").agg(F.sum("sale").alias("_total"))
-        out = out.join(F.broadcast(totals), "week").withColumn(  # one row per week
+        totals = out.groupBy("week", "days").agg(F.sum("sale").alias("_total"))
+        out = out.join(F.broadcast(totals), ["week", "days"]).withColumn(  # weeks x periods rows
             "sale_norm", F.try_divide("sale", "_total")).drop("_total")
     if rank:
-        out = average_rank_by_value(out, "week", "sale", unit, "sale_rank")
-    return out.select(*unit, "week", "sale", *["sale_rank"] * rank, *["sale_norm"] * norm)
+        out = average_rank_by_value(out, ["week", "days"], "sale", unit, "sale_rank")
+    extra = [] if isinstance(days, int) else ["days"]
+    return out.select(*unit, "week", *extra, "sale", *["sale_rank"] * rank, *["sale_norm"] * norm)
 
 
 def repurchase_ratio(base: DataFrame, unit: str | Sequence[str], week_num: int = 6) -> DataFrame:
@@ -119,7 +147,7 @@ def repurchase_ratio(base: DataFrame, unit: str | Sequence[str], week_num: int =
     """
     unit = names(unit)
     rows = _sales(base, unit).filter(F.col("week") >= 1)
-    weekly = rows.groupBy("customer_id", *unit, "week").agg(F.count(F.lit(1)).alias("_n"))
+    weekly = rows.groupBy("customer_id", *unit, "week").agg(_count(rows).alias("_n"))
     # a customer's distinct weeks of one unit: bounded by the calendar
     own = weekly.groupBy("customer_id", *unit).agg(
         F.sort_array(F.collect_list("week"), asc=False).alias("_weeks"),
@@ -127,7 +155,9 @@ def repurchase_ratio(base: DataFrame, unit: str | Sequence[str], week_num: int =
     newest = F.col("_weeks")[0]
     second = F.greatest(F.col("_repeat"), F.try_element_at("_weeks", F.lit(2)))
     cap = F.lit(week_num)
-    own = own.select(*unit, F.least(newest, cap).alias("_m1"), F.least(second, cap).alias("_m2"))
+    own = own.withColumn("_second", second).select(
+        *unit, F.least(newest, cap).alias("_m1"),
+        F.when(F.col("_second").isNotNull(), F.least("_second", cap)).alias("_m2"))
     pairs = own.groupBy(*unit, "_m1", "_m2").agg(F.count(F.lit(1)).alias("_n"))
     spread = pairs.select(*unit, "_n", "_m2", _weeks_upto(F.col("_m1"), week_num).alias("week"))
     return spread.groupBy(*unit, "week").agg(
@@ -138,8 +168,8 @@ def repurchase_ratio(base: DataFrame, unit: str | Sequence[str], week_num: int =
 def popularity(base: DataFrame, unit: str | Sequence[str] = "article_id", week_num: int = 6) -> DataFrame:
     """(unit.., week, popularity): sum over sales of 1 / (days before the last sale + 1)."""
     unit = names(unit)
-    daily = (_sales(base, unit).filter(F.col("week") >= 1)
-             .groupBy(*unit, "week", "t_dat").agg(F.count(F.lit(1)).alias("_n")))
+    rows = _sales(base, unit).filter((F.col("week") >= 1) & F.col("t_dat").isNotNull())
+    daily = rows.groupBy(*unit, "week", "t_dat").agg(_count(rows).alias("_n"))
     spread = daily.select(*unit, "t_dat", "_n", _weeks_upto(F.col("week"), week_num).alias("week"))
     last = spread.groupBy("week").agg(F.max("t_dat").alias("_last"))
     aged = spread.join(F.broadcast(last), "week")  # one row per week
@@ -183,8 +213,6 @@ def customer_median_price(history: DataFrame) -> DataFrame:
     Equal prices collapse before the shuffle. The two middle positions are found on running
     counts, so a customer's prices are sorted on disk and never held as one value.
     """
-    from pyspark.sql import Window
-
     counts = (history.filter(F.col("customer_id").isNotNull() & F.col("price").isNotNull())
               .groupBy("customer_id", F.col("price").cast("double").alias("price"))
               .agg(F.count(F.lit(1)).alias("_n")))
@@ -200,7 +228,8 @@ def customer_median_price(history: DataFrame) -> DataFrame:
 
 def trailing_year(history: DataFrame, unit: str, out: str, weeks: int = 5, span: int = 52) -> DataFrame:
     """(unit, week, out): sales of the weeks w + 1 .. w + span + 1, for weeks 1..``weeks``."""
-    weekly = history.filter(F.col(unit).isNotNull()).groupBy(unit, "week").agg(F.count(F.lit(1)).alias("_n"))
+    rows = history.filter(F.col(unit).isNotNull() & F.col("week").isNotNull())
+    weekly = rows.groupBy(unit, "week").agg(F.count(F.lit(1)).alias("_n"))
     first = F.greatest(F.lit(1), F.col("week") - span - 1).cast("int")
     last = F.least(F.lit(weeks), F.col("week") - 1).cast("int")
     spread = weekly.withColumns({"_a": first, "_b": last}).filter(F.col("_a") <= F.col("_b")).select(
@@ -225,9 +254,8 @@ def fill_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         kind = f.dataType.simpleString()
         if kind in ("float", "double"):
             big = 3.4028234663852886e38 if kind == "float" else 1.7976931348623157e308
-            c = F.nanvl(f.name, F.lit(0.0).cast(kind))
-            out[f.name] = F.coalesce(
-                F.greatest(F.lit(-big).cast(kind), F.least(F.lit(big).cast(kind), c)), F.lit(0.0).cast(kind))
+            c = F.coalesce(F.nanvl(f.name, F.lit(0.0).cast(kind)), F.lit(0.0).cast(kind))
+            out[f.name] = F.greatest(F.lit(-big).cast(kind), F.least(F.lit(big).cast(kind), c))
         elif kind in ("tinyint", "smallint", "int", "bigint"):
             out[f.name] = F.coalesce(f.name, F.lit(0).cast(kind))
     return df.withColumns(out)
@@ -287,46 +315,45 @@ def type_columns(rows: DataFrame, kind: str) -> DataFrame:
         for u in ("i", "p")})
 
 
-def _unit_weeks(base: DataFrame, unit: str, prefix: str, anchor: Day, week_num: int, dated: DataFrame) -> DataFrame:
-    """All features of one unit in one (unit, week) table."""
-    long = []
-
-    def add(table: DataFrame, columns: dict[str, str]) -> None:
-        long.append((table, columns))
-
-    if prefix in ("i", "p"):
-        for days in (14, 21, 28):
-            w = days // 7
-            add(period_sale(base, unit, anchor, days, rank=True, norm=True, week_num=week_num), {
-                "sale": f"{prefix}_{w}w_sale", "sale_rank": f"{prefix}_{w}w_sale_rank",
-                "sale_norm": f"{prefix}_{w}w_sale_norm"})
-        add(repurchase_ratio(base, unit, week_num), {"ratio": f"{prefix}_repurchase_ratio"})
-        add(popularity(base, unit, week_num), {"popularity": f"{prefix}_pop"})
-        for step, lw in ((0, ""), (1, "lw_")):
-            add(week_sale(base, unit, False, step, week_num), {"sale": f"{lw}{prefix}_sale"})
-            add(week_sale(base, unit, True, step, week_num), {"sale": f"{lw}{prefix}_sale_uni"})
-    else:
-        # customers counted once, as for the unique columns
-        for step, lw in ((0, ""), (1, "lw_")):
-            add(week_sale(base, unit, True, step, week_num), {"sale": f"{lw}{prefix}_sale"})
-    add(full_sale(base, unit, False, week_num), {"sale": f"{prefix}_full_sale"})
+def _unit_weeks(
+    days: DataFrame, customers: DataFrame, unit: str, prefix: str, anchor: Day, week_num: int, whole: bool
+) -> DataFrame:
+    """All features of one unit in one (unit, week) table; ``whole`` adds periods and popularity."""
+    parts: list[DataFrame] = []
+    wanted: list[str] = []
+
+    def add(table: DataFrame, columns: dict[str, Column]) -> None:
+        wanted.extend(columns)
+        parts.append(table.select(unit, "week", *[c.cast("double").alias(n) for n, c in columns.items()]))
+
+    def sales(table: DataFrame, suffix: str) -> None:
+        add(table, {f"{lw}{prefix}_sale{suffix}": F.when(F.col("step") == s, F.col("sale"))
+                    for s, lw in ((0, ""), (1, "lw_"))})
+
+    if whole:
+        periods = period_sale(days, unit, anchor, (14, 21, 28), rank=True, norm=True, week_num=week_num)
+        add(periods, {f"{prefix}_{d // 7}w_{c}": F.when(F.col("days") == d, F.col(c))
+                      for d in (14, 21, 28) for c in ("sale", "sale_rank", "sale_norm")})
+        add(repurchase_ratio(customers, unit, week_num), {f"{prefix}_repurchase_ratio": F.col("ratio")})
+        add(popularity(days, unit, week_num), {f"{prefix}_pop": F.col("popularity")})
+        sales(week_sale(days, unit, False, (0, 1), week_num), "")
+    # types count customers, as the unique columns do
+    sales(week_sale(customers, unit, True, (0, 1), week_num), "_uni" if whole else "")
+    add(full_sale(days, unit, False, week_num), {f"{prefix}_full_sale": F.col("sale")})
 
     # one aggregation instead of a join per feature
-    columns = [c for _, cs in long for c in cs.values()]
-    stacked = None
-    for table, cs in long:
-        have = {new: F.col(old).cast("double") for old, new in cs.items()}
-        part = table.filter(F.col("week").between(1, week_num)).select(
-            unit, "week", *[have.get(c, F.lit(None).cast("double")).alias(c) for c in columns])
-        stacked = part if stacked is None else stacked.unionByName(part)
-    merged = stacked.groupBy(unit, "week").agg(*[F.max(c).alias(c) for c in columns])
-    if prefix == "p":
-        return merged
-    first = first_sale(dated, unit).withColumnRenamed("first_date", "_first")
-    weeks = first.select(unit, "_first", F.explode(F.sequence(F.lit(1), F.lit(week_num))).alias("week"))
-    name = "first_dat" if prefix == "i" else f"{prefix}_first_dat"
-    return weeks.join(merged, [unit, "week"], "left").withColumn(
-        name, days_since("_first", "week", anchor)).drop("_first")
+    stacked = [p.filter(F.col("week").between(1, week_num)) for p in parts]
+    rows = stacked[0]
+    for p in stacked[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return rows.groupBy(unit, "week").agg(*[F.max(c).alias(c) for c in wanted])
+
+
+def _first_days(days: DataFrame, unit: str, out: str, anchor: Day, week_num: int) -> DataFrame:
+    """(unit, week, out): every unit of the base, with the days since its first sale."""
+    first = first_sale(date_fillers(days, anchor), unit)
+    weeks = first.select(unit, "first_date", F.explode(F.sequence(F.lit(1), F.lit(week_num))).alias("week"))
+    return weeks.select(unit, "week", days_since("first_date", "week", anchor).alias(out))
 
 
 def item_week_features(
@@ -338,17 +365,24 @@ def item_week_features(
     small tables are joined instead of decorating transactions.
     """
     attributes = item.select("article_id", "product_code", kind)
-    salt = [c for c in ("customer_id", "t_dat") if c in base.columns]
-    base = salted_lookup(base, attributes, "article_id", salt)
-    dated = date_fillers(base, anchor)
-    own = _unit_weeks(base, "article_id", "i", anchor, week_num, dated)
-    product = _unit_weeks(base, "product_code", "p", anchor, week_num, dated)
-    types = _unit_weeks(base, kind, kind, anchor, week_num, dated)
-    rows = own.join(attributes, "article_id", "left")
+    units = ["article_id", "product_code", kind]
+    # two totals serve all features: per item and day, and per customer, item and week
+    days = base.groupBy("article_id", "week", "t_dat", "valid").agg(F.count(F.lit(1)).alias("n"))
+    days = durable(days.join(attributes, "article_id", "left"))
+    customers = base.filter(F.col("valid") == 1).groupBy("customer_id", "article_id", "week", "valid").agg(
+        F.count(F.lit(1)).alias("n"))
+    customers = durable(salted_lookup(customers, attributes, "article_id", "customer_id"))
+
+    own, product, types = (
+        _unit_weeks(days, customers, u, prefix, anchor, week_num, whole)
+        for u, prefix, whole in zip(units, ("i", "p", kind), (True, True, False)))
+    rows = _first_days(days, "article_id", "first_dat", anchor, week_num).join(own, ["article_id", "week"], "left")
+    rows = rows.join(attributes, "article_id", "left")
+    types = _first_days(days, kind, f"{kind}_first_dat", anchor, week_num).join(types, [kind, "week"], "left")
     rows = salted_lookup(rows, product, ["product_code", "week"], "article_id")
     rows = salted_lookup(rows, types, [kind, "week"], "article_id")
     dates = {"first_dat", f"{kind}_first_dat"}
-    numbers = [c for c in rows.columns if c not in {"article_id", "product_code", kind, "week"} | dates]
+    numbers = [c for c in rows.columns if c not in {*units, "week"} | dates]
     rows = rows.fillna(0, numbers)
     rows = type_columns(daily_columns(sale_columns(rows)), kind)
     return rows.drop(kind, f"{kind}_full_sale", f"{kind}_first_dat", "i_full_sale", "p_full_sale")

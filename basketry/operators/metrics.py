@@ -51,3 +51,16 @@ def hit_rate_at_k(actual: DataFrame, predicted: DataFrame, k: int = 10) -> DataF
     buyers = actual.select("customer_id").distinct()
     return buyers.join(hit, "customer_id", "left").agg(
         F.avg(F.coalesce("_hit", F.lit(0.0))).alias("hit_rate"))
+
+
+def ranking_metrics(actual: DataFrame, predicted: DataFrame, k: int = 12) -> DataFrame:
+    """One row (map, recall, hit_rate) from one join of purchases and predictions."""
+    order = Window.partitionBy("customer_id").orderBy("rank")  # at most k rows
+    hits = _hits(actual, predicted, k).withColumn("_nth", F.row_number().over(order))
+    gains = hits.groupBy("customer_id").agg(
+        F.sum(F.col("_nth") / F.col("rank")).alias("_gain"), F.sum("n").alias("_found"))
+    sizes = actual.groupBy("customer_id").agg(F.sum("n").alias("_size"))
+    return sizes.join(gains, "customer_id", "left").agg(
+        F.avg(F.coalesce("_gain", F.lit(0.0)) / F.least("_size", F.lit(k))).alias("map"),
+        F.avg(F.coalesce("_found", F.lit(0)) / F.col("_size")).alias("recall"),
+        F.avg(F.when(F.col("_found") > 0, 1.0).otherwise(0.0)).alias("hit_rate"))

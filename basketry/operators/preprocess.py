@@ -246,7 +246,8 @@ def purchase_ability(inter: DataFrame) -> DataFrame:
 def with_product(trans: DataFrame, item: DataFrame, columns: str | Sequence[str] = "product_code") -> DataFrame:
     """Item attributes on every transaction; frequent items are spread over tasks."""
     salt = [c for c in ("customer_id", "t_dat") if c in trans.columns]
-    return salted_lookup(trans, item.select("article_id", *names(columns)), "article_id", salt)
+    lookup = item.select("article_id", *names(columns))
+    return salted_lookup(trans, lookup, "article_id", salt) if salt else trans.join(lookup, "article_id", "left")
 
 
 # ---------------------------------------------------------------- type narrowing

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from functools import cached_property
 
@@ -92,14 +93,16 @@ class Tables:
         return self.table("embeddings").select(
             F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
 
-    @property
-    def anchor(self):
-        """Anchor of the event weeks."""
-        return F.date_add(self.ev.agg(F.max("t_dat")).scalar(), 7)
+    @cached_property
+    def anchor(self) -> dt.date:
+        """Anchor of the event weeks, as a literal date that reaches the scan."""
+        return self.table("events").agg(F.to_date(F.max("ts"))).first()[0] + dt.timedelta(7)
 
-    @property
-    def tx_anchor(self):
-        return F.date_add(self.tx.agg(F.max("t_dat")).scalar(), 7)
+    @cached_property
+    def tx_anchor(self) -> dt.date:
+        lines = self.table("lineitem").select("l_orderkey")
+        orders = self.table("orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+        return orders.agg(F.to_date(F.max("o_orderdate"))).first()[0] + dt.timedelta(7)
 
 
 def _sql_list(values: list[str]) -> str:
