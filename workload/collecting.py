@@ -202,7 +202,7 @@ def c07(t):
     return rounded(c.cut_by_rate(rounded(h.candidates(), 9), h.held_out, 0.15), 3)
 
 
-@query("c07_best_depths", with_(HELD, CAND9, cut_cte("c9", 0.2)) + """
+@query("c07_best_depths", with_(HELD, CAND9, cut_cte("c9", 0.15)) + """
 SELECT method, keep_all, best_rank FROM cut""")
 def c07_depths(t):
     from basketry.functions.stats import average_rank
@@ -210,7 +210,7 @@ def c07_depths(t):
     h = Held(t)
     marked = c.mark_labels(rounded(h.candidates(), 9), h.held_out)
     ranked = marked.withColumn("rank", average_rank(["method", "customer_id"], "score"))
-    return c.best_cuts(ranked.filter("served"), 0.2)
+    return c.best_cuts(ranked.filter("served"), 0.15)
 
 
 @query("c08_union", with_(HELD) + "SELECT customer_id, article_id, method, round(score, 3) AS score FROM cand")
