@@ -42,11 +42,11 @@ def attach_features(
 ) -> DataFrame:
     """Lagged item-week features, then user and item attributes.
 
-    Candidates crowd on a few items, so item lookups are spread by customer, and customers with
-    many candidates by item.
+    Candidates crowd on a few items, so item lookups are spread by customer. A customer has few
+    candidates, so the large user table is joined without copies.
     """
     rows = salted_lookup(candidates, lag_week(item_week), ["article_id", "week"], "customer_id")
-    rows = salted_lookup(rows, user.select("customer_id", *user_features), "customer_id", "article_id")
+    rows = rows.join(user.select("customer_id", *user_features), "customer_id", "left")
     return salted_lookup(rows, item.select("article_id", *item_features), "article_id", "customer_id")
 
 
@@ -55,8 +55,8 @@ def embedding_similarity(
     user_id: str = "customer_id", item_id: str = "article_id",
 ) -> DataFrame:
     """Dot product of the user and the item vector; null where either is missing."""
-    rows = salted_lookup(candidates, user_vectors.select(F.col("id").alias(user_id), F.col("vec").alias("_u")),
-                         user_id, item_id)
+    rows = candidates.join(
+        user_vectors.select(F.col("id").alias(user_id), F.col("vec").alias("_u")), user_id, "left")
     rows = salted_lookup(rows, item_vectors.select(F.col("id").alias(item_id), F.col("vec").alias("_v")),
                          item_id, user_id)
     return rows.withColumn(out, dot("_u", "_v")).drop("_u", "_v")

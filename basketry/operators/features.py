@@ -1,8 +1,8 @@
 """Weekly sales features as keyed tables.
 
 Weeks count backwards: week ``w`` looks at rows of week ``w`` and older. Rows are totalled per
-unit and day or week before they are copied to the weeks they count for, so the copies are of
-totals and not of sales. ``base`` tables carry ``week``, ``t_dat`` and ``valid`` (1 for a sale, 0 for
+unit and day or week, and the weeks they count for are columns of one aggregation, so sales are
+not copied per week. ``base`` tables carry ``week``, ``t_dat`` and ``valid`` (1 for a sale, 0 for
 a filler row of the grid); a unit is one or more item columns.
 """
 
@@ -33,9 +33,15 @@ def _count(rows: DataFrame) -> Column:
     return F.sum("n") if "n" in rows.columns else F.count(F.lit(1))
 
 
-def _weeks_upto(week: Column, week_num: int) -> Column:
-    """1..min(week, week_num): the weeks that look back at ``week``."""
-    return F.explode(F.sequence(F.lit(1), F.least(week, F.lit(week_num)).cast("int")))
+def _by_week(sums: DataFrame, unit: Sequence[str], columns: Sequence[Column], out: str) -> DataFrame:
+    """One column per week 1, 2, .. turned into rows (unit.., week, out); nulls are left out."""
+    cells = F.array(*[F.struct(F.lit(w).alias("week"), c.alias(out)) for w, c in enumerate(columns, start=1)])
+    return sums.select(*unit, F.inline(cells)).filter(F.col(out).isNotNull())
+
+
+def _upto_week(w: int, value: Column) -> Column:
+    """The value for rows of week ``w`` and older."""
+    return F.when(F.col("week") >= w, value)
 
 
 # ---------------------------------------------------------------- base table
@@ -47,15 +53,14 @@ def feature_grid(inter: DataFrame, items: DataFrame, week_num: int) -> DataFrame
     one row with ``valid`` 0. ``inter`` has ``week``.
     """
     wanted = items.select("article_id").filter(F.col("article_id").isNotNull()).distinct()
-    grid = wanted.select("article_id", F.explode(F.sequence(F.lit(1), F.lit(week_num + 1))).alias("week"))
-    recent = inter.filter(F.col("week") <= week_num + 1)
-    older = inter.filter(F.col("week") > week_num + 1).withColumn("valid", F.lit(1))
     salt = [c for c in ("customer_id", "t_dat") if c in inter.columns]
-    kept = salted_lookup(recent.filter(F.col("week") >= 1), grid, ["article_id", "week"], salt, "left_semi")
-    sold = kept.select("article_id", "week").distinct()
+    rows = salted_lookup(inter, wanted.withColumn("_in", F.lit(True)), "article_id", salt)
+    recent = F.col("week") <= week_num + 1
+    kept = rows.filter(~recent | (F.col("_in") & (F.col("week") >= 1))).drop("_in").withColumn("valid", F.lit(1))
+    sold = kept.filter(recent).select("article_id", "week").distinct()
+    grid = wanted.select("article_id", F.explode(F.sequence(F.lit(1), F.lit(week_num + 1))).alias("week"))
     filler = grid.join(sold, ["article_id", "week"], "left_anti").withColumn("valid", F.lit(0))
-    return (kept.withColumn("valid", F.lit(1)).unionByName(older)
-            .unionByName(filler, allowMissingColumns=True))
+    return kept.unionByName(filler, allowMissingColumns=True)
 
 
 def date_fillers(base: DataFrame, anchor: Day) -> DataFrame:
@@ -72,9 +77,12 @@ def full_sale(base: DataFrame, unit: str | Sequence[str], unique: bool = False,
     rows = _sales(base, unit)
     if unique:
         rows = rows.select("customer_id", "week", *unit).distinct()
-    weekly = rows.groupBy(*unit, "week").agg(_count(rows).alias("_n")).filter(F.col("week") >= 1)
-    spread = weekly.select(*unit, "_n", _weeks_upto(F.col("week"), week_num).alias("week"))
-    return spread.groupBy(*unit, "week").agg(F.sum("_n").alias("sale"))
+    # the newest weeks one by one, all older ones together
+    weekly = (rows.filter(F.col("week") >= 1)
+              .groupBy(*unit, F.least(F.col("week"), F.lit(week_num)).alias("week")).agg(_count(rows).alias("_n")))
+    weeks = range(1, week_num + 1)
+    sums = weekly.groupBy(*unit).agg(*[F.sum(_upto_week(w, F.col("_n"))).alias(f"_s{w}") for w in weeks])
+    return _by_week(sums, unit, [F.col(f"_s{w}") for w in weeks], "sale")
 
 
 def week_sale(
@@ -140,41 +148,32 @@ def period_sale(
 
 
 def repurchase_ratio(base: DataFrame, unit: str | Sequence[str], week_num: int = 6) -> DataFrame:
-    """(unit.., week, ratio): share of buyers so far with more than one purchase.
-
-    Two numbers per customer and unit decide every week: the newest week of purchase, and the
-    newest week by which there are two purchases.
-    """
-    unit = names(unit)
+    """(unit.., week, ratio): share of buyers so far with more than one purchase."""
+    unit, weeks = names(unit), range(1, week_num + 1)
     rows = _sales(base, unit).filter(F.col("week") >= 1)
-    weekly = rows.groupBy("customer_id", *unit, "week").agg(_count(rows).alias("_n"))
-    # a customer's distinct weeks of one unit: bounded by the calendar
-    own = weekly.groupBy("customer_id", *unit).agg(
-        F.sort_array(F.collect_list("week"), asc=False).alias("_weeks"),
-        F.max(F.when(F.col("_n") > 1, F.col("week"))).alias("_repeat"))
-    newest = F.col("_weeks")[0]
-    second = F.greatest(F.col("_repeat"), F.try_element_at("_weeks", F.lit(2)))
-    cap = F.lit(week_num)
-    own = own.withColumn("_second", second).select(
-        *unit, F.least(newest, cap).alias("_m1"),
-        F.when(F.col("_second").isNotNull(), F.least("_second", cap)).alias("_m2"))
-    pairs = own.groupBy(*unit, "_m1", "_m2").agg(F.count(F.lit(1)).alias("_n"))
-    spread = pairs.select(*unit, "_n", "_m2", _weeks_upto(F.col("_m1"), week_num).alias("week"))
-    return spread.groupBy(*unit, "week").agg(
-        (F.sum(F.when(F.col("_m2") >= F.col("week"), F.col("_n")).otherwise(0))
-         / (F.sum("_n") + F.lit(EPSILON))).alias("ratio"))
+    n = F.col("n") if "n" in rows.columns else F.lit(1)
+    own = rows.groupBy("customer_id", *unit).agg(*[F.sum(_upto_week(w, n)).alias(f"_k{w}") for w in weeks])
+
+    def ratio(w: int) -> Column:
+        buyers = F.count_if(F.col(f"_k{w}") >= 1)
+        return F.when(buyers > 0, F.count_if(F.col(f"_k{w}") >= 2) / (buyers + F.lit(EPSILON)))
+
+    sums = own.groupBy(*unit).agg(*[ratio(w).alias(f"_r{w}") for w in weeks])
+    return _by_week(sums, unit, [F.col(f"_r{w}") for w in weeks], "ratio")
 
 
 def popularity(base: DataFrame, unit: str | Sequence[str] = "article_id", week_num: int = 6) -> DataFrame:
     """(unit.., week, popularity): sum over sales of 1 / (days before the last sale + 1)."""
-    unit = names(unit)
+    unit, weeks = names(unit), range(1, week_num + 1)
     rows = _sales(base, unit).filter((F.col("week") >= 1) & F.col("t_dat").isNotNull())
-    daily = rows.groupBy(*unit, "week", "t_dat").agg(_count(rows).alias("_n"))
-    spread = daily.select(*unit, "t_dat", "_n", _weeks_upto(F.col("week"), week_num).alias("week"))
-    last = spread.groupBy("week").agg(F.max("t_dat").alias("_last"))
-    aged = spread.join(F.broadcast(last), "week")  # one row per week
-    return aged.groupBy(*unit, "week").agg(
-        F.sum(F.col("_n") / (F.datediff("_last", "t_dat") + 1)).alias("popularity"))
+    last = rows.agg(F.array(*[F.max(_upto_week(w, F.col("t_dat"))) for w in weeks])).scalar()
+    daily = rows.groupBy(*unit, "week", "t_dat").agg(_count(rows).alias("_n")).withColumn("_last", last)
+
+    def share(w: int) -> Column:
+        return F.sum(_upto_week(w, F.col("_n") / (F.datediff(F.col("_last")[w - 1], "t_dat") + 1)))
+
+    sums = daily.groupBy(*unit).agg(*[share(w).alias(f"_p{w}") for w in weeks])
+    return _by_week(sums, unit, [F.col(f"_p{w}") for w in weeks], "popularity")
 
 
 def first_sale(base: DataFrame, unit: str | Sequence[str] = "article_id") -> DataFrame:
@@ -208,22 +207,32 @@ def customer_history(history: DataFrame) -> DataFrame:
 
 
 def customer_median_price(history: DataFrame) -> DataFrame:
-    """(customer_id, customer_id_price_median) from the counts of a customer's distinct prices.
+    """(customer_id, customer_id_price_median), exact.
 
-    Equal prices collapse before the shuffle. The two middle positions are found on running
-    counts, so a customer's prices are sorted on disk and never held as one value.
+    Equal prices collapse before the shuffle. Running counts over coarse price steps find the one
+    or two steps that hold the middle, and only these are sorted by price.
     """
+    price = F.col("price").cast("double")
     counts = (history.filter(F.col("customer_id").isNotNull() & F.col("price").isNotNull())
-              .groupBy("customer_id", F.col("price").cast("double").alias("price"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    order = Window.partitionBy("customer_id").orderBy("price").rowsBetween(Window.unboundedPreceding, 0)
-    total = counts.groupBy("customer_id").agg(F.sum("_n").alias("_total"))
-    placed = counts.withColumn("_upto", F.sum("_n").over(order)).join(total, "customer_id")
+              .groupBy("customer_id", price.alias("price")).agg(F.count(F.lit(1)).alias("_n")))
+    # grows with the price, about 0.2 % per step
+    step = F.floor(F.signum("price") * F.log(1 + F.abs("price") * 10000) * 500)
+    counts = counts.withColumn("_step", step)
+    steps = counts.groupBy("customer_id", "_step").agg(F.sum("_n").alias("_s"))
+    own = Window.partitionBy("customer_id")
+    upto = own.orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
+    steps = steps.withColumns({"_below": F.sum("_s").over(upto) - F.col("_s"), "_total": F.sum("_s").over(own)})
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    covers = lambda at: (F.col("_upto") >= at) & (F.col("_upto") - F.col("_n") < at)
-    return placed.groupBy("customer_id").agg(
-        ((F.max(F.when(covers(low), F.col("price"))) + F.max(F.when(covers(high), F.col("price")))) / 2)
-        .alias("customer_id_price_median"))
+    middle = steps.filter((F.col("_below") < high) & (F.col("_below") + F.col("_s") >= low))
+    near = counts.join(middle.drop("_s"), ["customer_id", "_step"])
+    inside = (Window.partitionBy("customer_id", "_step").orderBy("price")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    near = near.withColumn("_upto", F.col("_below") + F.sum("_n").over(inside))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place), F.col("price")))
+
+    return near.groupBy("customer_id").agg(((at(low) + at(high)) / 2).alias("customer_id_price_median"))
 
 
 def trailing_year(history: DataFrame, unit: str, out: str, weeks: int = 5, span: int = 52) -> DataFrame:
