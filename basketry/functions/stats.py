@@ -32,6 +32,12 @@ def average_rank_by_value(
     return salted_lookup(df, ranks, [*by, value], salt_on, "inner")
 
 
+def tie_key(score: str | Column, digits: int = 6) -> Column:
+    """Sort key in which scores that differ by rounding noise only are equal."""
+    value = F.col(score) if isinstance(score, str) else score
+    return F.rint(value * F.lit(10.0 ** digits))
+
+
 # Coefficients of Wichura's algorithm AS 241 (PPND16), lowest power first.
 AS241_CENTRE_NUM = [
     3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ...functions.calendar import Day, last_or
 from ...functions.skew import salted_lookup, top_rows
+from ...functions.stats import tie_key
 from .base import PersonalRule, labelled
 from .decay import horizon, sale_values
 
@@ -63,5 +64,5 @@ class OrderHistoryDecay(PersonalRule):
     def retrieve(self) -> DataFrame:
         kept = self.values().filter(F.col("score") > MIN_VALUE)
         if self.n is not None:
-            kept = top_rows(kept, "customer_id", [F.round("score", 6).desc(), F.col(self.item_id)], self.n)
+            kept = top_rows(kept, "customer_id", [tie_key("score").desc(), F.col(self.item_id)], self.n)
         return labelled(kept, self.item_id, f"OrderHistoryDecay_{self.name}")

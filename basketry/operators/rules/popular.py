@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.calendar import Day, last_or
+from ...functions.stats import tie_key
 from .base import GlobalRule, labelled, serve_all
 from .decay import sale_values
 
@@ -51,7 +52,7 @@ class TimeHistoryDecay(GlobalRule):
         return value.groupBy(self.item_id).agg(F.sum(F.col("n") * F.col("value")).alias("score"))
 
     def ranked(self) -> DataFrame:
-        return self.values().orderBy(F.round("score", 6).desc(), self.item_id).limit(int(self.n))
+        return self.values().orderBy(tie_key("score").desc(), self.item_id).limit(int(self.n))
 
     def retrieve(self) -> DataFrame:
         served = serve_all(self.customers, self.ranked(), self.item_id)

@@ -70,8 +70,8 @@ def cut_cte(source: str, min_rate: float) -> str:
     return f"""mk AS (SELECT s.*, x.customer_id IS NOT NULL AS served, CASE WHEN l.customer_id IS NULL THEN 0 ELSE 1 END AS label
   FROM {source} s LEFT JOIN (SELECT DISTINCT customer_id FROM lab) x USING (customer_id)
   LEFT JOIN lab l ON l.customer_id = s.customer_id AND l.article_id = s.article_id),
-rk AS (SELECT *, rank() OVER (PARTITION BY method, customer_id ORDER BY score DESC)
-       + (count(*) OVER (PARTITION BY method, customer_id, score) - 1) / 2 AS rank FROM mk),
+rk AS (SELECT *, CASE WHEN score IS NOT NULL THEN rank() OVER (PARTITION BY method, customer_id ORDER BY score DESC NULLS LAST)
+       + (count(*) OVER (PARTITION BY method, customer_id, score) - 1) / 2 END AS rank FROM mk),
 ov AS (SELECT method, avg(label) AS rate, max(rank) AS top FROM rk WHERE served GROUP BY method),
 dpt AS (SELECT method, top - i AS r, i, rate FROM ov, range(0, 1000) t(i) WHERE top - i > 0),
 rt AS (SELECT dpt.method, i, r, sum(label) / count(*) AS rate FROM dpt JOIN rk ON rk.method = dpt.method AND served AND rank <= r

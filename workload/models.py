@@ -10,9 +10,12 @@ from basketry.plans import candidates as plans
 from basketry.plans import weekly
 from basketry.schema import Dataset
 
+from .collecting import cut_cte
 from .feats import event_candidates, event_labels
+from .prep import AGE_BIN
 from .registry import query
-from .tables import EV, EVA, ITEM, TX, with_
+from .rules import decay_cte, pair_cte
+from .tables import EV, EVA, ITEM, TX, USER, with_
 
 DIM = 64
 
@@ -250,7 +253,78 @@ def event_dataset(t) -> Dataset:
     return Dataset(user=p.encode_users(user), item=p.encode_items(item), inter=inter)
 
 
-@query("w01_first_strategy_week")
+def _first_strategy_sql(min_rate: float) -> str:
+    """All sixteen rules of the first strategy for week 1, scaled, cut and pivoted."""
+    def own(days: int, name: str) -> str:
+        return f"SELECT customer_id, article_id, 'OrderHistory_{name}' AS method, CAST(-gap AS DOUBLE) AS score FROM h0 WHERE gap < {days}"
+
+    def decayed(prefix: str) -> str:
+        return f"""{prefix}d AS (SELECT customer_id, article_id, s FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY round(s, 6) DESC, article_id) AS k
+  FROM (SELECT customer_id, article_id, sum(value) AS s FROM {prefix}v GROUP BY ALL)) WHERE k <= 50 AND s > 150)"""
+
+    def pairs(prefix: str, name: str) -> str:
+        return f"""SELECT customer_id, pair, 'ItemPairRetrieve_{name}', CAST(max(score) AS DOUBLE)
+  FROM {prefix}o JOIN {prefix}fp USING (article_id) GROUP BY customer_id, pair"""
+
+    def group_top(source: str, name: str) -> str:
+        return f"""SELECT customer_id, article_id, 'UGTimeHistory_{name}', CAST(n AS DOUBLE) FROM served LEFT JOIN ub USING (customer_id)
+  LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY age_bins ORDER BY n DESC, article_id) AS k FROM (
+    SELECT age_bins, article_id, count(*) AS n FROM (SELECT DISTINCT customer_id, article_id, age_bins FROM {source})
+    WHERE age_bins IS NOT NULL GROUP BY ALL)) WHERE k <= 50) USING (age_bins)"""
+
+    def top(source: str, name: str) -> str:
+        return f"""SELECT customer_id, article_id, 'TimeHistory_{name}', CAST(n AS DOUBLE) FROM served, (
+  SELECT article_id, count(*) AS n FROM (SELECT DISTINCT customer_id, article_id FROM {source}) GROUP BY article_id
+  ORDER BY n DESC, article_id LIMIT 50)"""
+
+    def top_decay(prefix: str, name: str) -> str:
+        return f"""SELECT customer_id, article_id, 'TimeHistoryDecay_{name}', s FROM served, (
+  SELECT article_id, sum(value) AS s FROM {prefix}v GROUP BY article_id ORDER BY round(s, 6) DESC, article_id LIMIT 50)"""
+
+    counts = """count(*) FILTER (gap <= 6) AS x, count(*) FILTER (gap > 6) AS y
+  FROM (SELECT *, date_diff('day', t_dat, (SELECT max(t_dat) FROM train)) AS gap FROM tu) WHERE gap <= 13"""
+    ctes = [
+        EV, EVA, USER,
+        "train AS (SELECT ev.* FROM ev, a WHERE t_dat < anchor - 13)",
+        "held AS (SELECT ev.* FROM ev, a WHERE t_dat >= anchor - 13 AND t_dat < anchor - 6)",
+        "lab AS (SELECT DISTINCT customer_id, article_id FROM held)",
+        "served AS (SELECT DISTINCT customer_id FROM held)",
+        f"ub AS (SELECT customer_id, {AGE_BIN} AS age_bins FROM (SELECT customer_id, coalesce(age, 0) AS age FROM usr))",
+        "tu AS (SELECT train.*, age_bins FROM train LEFT JOIN ub USING (customer_id))",
+        "lw AS (SELECT tu.* FROM tu, a WHERE t_dat >= anchor - 20)",
+        "l3 AS (SELECT tu.* FROM tu, a WHERE t_dat >= anchor - 16)",
+        """h0 AS (SELECT customer_id, article_id, min(gap) AS gap FROM (
+  SELECT *, date_diff('day', t_dat, max(t_dat) OVER (PARTITION BY customer_id)) AS gap FROM train) GROUP BY ALL)""",
+        "h1 AS (SELECT * FROM h0 WHERE gap < 3)", "h2 AS (SELECT * FROM h0 WHERE gap < 7)",
+        decay_cte("train", 3, "x"), decay_cte("train", 7, "y"), decayed("x"), decayed("y"),
+        pair_cte("h1", "pa"), pair_cte("h2", "pb"), pair_cte("xd", "pc_"), pair_cte("yd", "pd"),
+        f"gn AS (SELECT age_bins, article_id, {counts} AND age_bins IS NOT NULL GROUP BY ALL)",
+        f"tn AS (SELECT article_id, {counts} GROUP BY ALL)",
+        "cand AS (" + "\nUNION ALL ".join([
+            own(3, "1"), own(7, "2"),
+            "SELECT customer_id, article_id, 'OrderHistoryDecay_1', s FROM xd",
+            "SELECT customer_id, article_id, 'OrderHistoryDecay_2', s FROM yd",
+            pairs("pa", "1"), pairs("pb", "2"), pairs("pc_", "3"), pairs("pd", "4"),
+            group_top("lw", "1"), group_top("l3", "2"),
+            """SELECT customer_id, article_id, 'UGSaleTrend_1', trend FROM served LEFT JOIN ub USING (customer_id) LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY age_bins ORDER BY x DESC, trend DESC, article_id) AS k
+    FROM (SELECT *, (x - y) / (y + 1) AS trend FROM gn WHERE x > 0 AND y > 0) WHERE trend > 0) WHERE k <= 50) USING (age_bins)""",
+            top("lw", "1"), top("l3", "2"), top_decay("x", "1"), top_decay("y", "2"),
+            """SELECT customer_id, article_id, 'SaleTrend_1', trend FROM served, (
+  SELECT *, (x - y) / y AS trend FROM tn WHERE x > 0 AND y > 0 AND (x - y) / y > 0 ORDER BY x DESC, trend DESC, article_id LIMIT 50)""",
+        ]) + ")",
+        """mm AS (SELECT customer_id, article_id, method, CASE WHEN score IS NOT NULL THEN
+  coalesce((score - min(score) OVER (PARTITION BY method))
+    / nullif(max(score) OVER (PARTITION BY method) - min(score) OVER (PARTITION BY method), 0), 0) END AS score FROM cand)""",
+        cut_cte("mm", min_rate),
+    ]
+    columns = ", ".join(f"round(sum(score) FILTER (method = '{m_}'), 6) AS {m_}" for m_ in plans.FIRST_METHODS)
+    return with_(*ctes) + f"SELECT customer_id, article_id, {columns} FROM kept WHERE article_id IS NOT NULL GROUP BY customer_id, article_id"
+
+
+# no item of the event log is out of stock: all sell in its only month
+@query("w01_first_strategy_week", _first_strategy_sql(0.12))
 def w01(t):
     data = event_dataset(t)
     wide = plans.first_strategy(data, 1, t.anchor, norm_type="minmax", trend=0.0, min_pos_rate=0.12)

@@ -79,12 +79,12 @@ def r02_top(t):
     return rounded(r.OrderHistoryDecay(t.tx, days=30, n=5, name="n").retrieve(), 3)
 
 
-def pair_cte(source: str) -> str:
-    return f"""o AS (SELECT DISTINCT customer_id, article_id FROM {source}),
-pc AS (SELECT x.article_id, y.article_id AS pair, count(*) AS n FROM o x JOIN o y
+def pair_cte(source: str, prefix: str = "") -> str:
+    return f"""{prefix}o AS (SELECT DISTINCT customer_id, article_id FROM {source}),
+{prefix}pc AS (SELECT x.article_id, y.article_id AS pair, count(*) AS n FROM {prefix}o x JOIN {prefix}o y
        ON x.customer_id = y.customer_id AND x.article_id <> y.article_id GROUP BY ALL),
-fp AS (SELECT article_id, pair, n AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY n DESC, pair) AS k FROM pc) WHERE k = 1)"""
+{prefix}fp AS (SELECT article_id, pair, n AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY n DESC, pair) AS k FROM {prefix}pc) WHERE k = 1)"""
 
 
 RECENT_OWN = "rec AS (SELECT customer_id, article_id FROM h WHERE gap < 7)"
