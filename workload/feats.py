@@ -136,9 +136,9 @@ def f07(t):
 EPS = "0.000001"
 
 
-def _cnt(unit: str, name: str, lag: int, unique: bool) -> str:
-    rows = (f"(SELECT customer_id, {unit}, max(week) AS week FROM gp WHERE valid = 1 AND week <= {WEEKS + lag + 2} GROUP BY ALL)"
-            if unique else f"(SELECT * FROM gp WHERE valid = 1 AND week <= {WEEKS + lag + 2})")
+def _cnt(unit: str, name: str, lag: int, unique: bool, weeks: int) -> str:
+    rows = (f"(SELECT customer_id, {unit}, max(week) AS week FROM gp WHERE valid = 1 AND week <= {weeks + lag + 2} GROUP BY ALL)"
+            if unique else f"(SELECT * FROM gp WHERE valid = 1 AND week <= {weeks + lag + 2})")
     return f"{name} AS (SELECT {unit}, week - {lag} AS week, count(*) AS {name} FROM {rows} GROUP BY ALL)"
 
 
@@ -151,7 +151,7 @@ def _per(unit: str, pre: str, days: int) -> str:
   s / sum(s) OVER (PARTITION BY week) AS {pre}_{w}w_sale_norm FROM {pre}_{w}w)"""
 
 
-def item_week_sql() -> str:
+def item_week_sql(weeks: int = WEEKS) -> str:
     """The item-week table with one CTE and one join per feature."""
     kind = "product_type_no"
     units = {"i": "article_id", "p": "product_code"}
@@ -164,7 +164,7 @@ def item_week_sql() -> str:
         for lag, lw in ((0, ""), (1, "lw_")):
             for uni in (False, True):
                 name = f"{lw}{pre}_sale{'_uni' if uni else ''}"
-                ctes.append(_cnt(unit, name, lag, uni))
+                ctes.append(_cnt(unit, name, lag, uni, weeks))
                 joins.append((name, unit))
                 numbers.append(name)
         ctes.append(f"""{pre}_rr AS (SELECT {unit}, w AS week, count(*) FILTER (n > 1) / (count(*) + 1e-6) AS {pre}_repurchase_ratio
@@ -174,7 +174,7 @@ def item_week_sql() -> str:
         joins += [(f"{pre}_rr", unit), (f"{pre}_pp", unit)]
         numbers += [f"{pre}_repurchase_ratio", f"{pre}_pop"]
     for lag, lw in ((0, ""), (1, "lw_")):
-        ctes.append(_cnt(kind, f"{lw}{kind}_sale", lag, True))
+        ctes.append(_cnt(kind, f"{lw}{kind}_sale", lag, True, weeks))
         joins.append((f"{lw}{kind}_sale", kind))
         numbers.append(f"{lw}{kind}_sale")
     for pre, unit in {**units, kind: kind}.items():

@@ -8,11 +8,11 @@ from basketry.functions import calendar as cal
 from basketry.operators import assemble, blend, embeddings as e, ranking as m
 from basketry.plans import candidates as plans
 from basketry.plans import weekly
-from basketry.schema import Dataset
+from basketry.schema import ITEM_CODE_COLUMNS, ITEM_FEATURES, Dataset
 
 from .collecting import cut_cte
-from .feats import event_candidates, event_labels
-from .prep import AGE_BIN
+from .feats import CANDS, EV_LABELS, event_candidates, event_labels, item_week_sql
+from .prep import AGE_BIN, GENDER, IMPUTED, SEASON, USER_CODED, USER_GENDER, _codes
 from .registry import query
 from .rules import decay_cte, pair_cte
 from .tables import EV, EVA, ITEM, TX, USER, with_
@@ -346,10 +346,63 @@ def training(t):
     return data, weekly.training_rows(data, cands, t.anchor, 4, vectors, extended=True)
 
 
-@query("w03_training_rows")
+def _training_sql(weeks: int) -> str:
+    """Labels, lagged item weeks, user and item codes, similarity and history in one statement."""
+    ctes = [
+        EV, EVA, TX, USER, ITEM.replace("item AS (", "raw_item AS (", 1),
+        f"""item AS (SELECT article_id, {_codes('raw_item', ITEM_CODE_COLUMNS)}, {GENDER} AS article_gender,
+  {SEASON} AS season_type FROM raw_item)""",
+        USER_GENDER.replace("FROM tx", "FROM ev").replace("FROM item)", "FROM raw_item)"), IMPUTED,
+        f"""users AS (SELECT customer_id, {_codes('imp', USER_CODED)}, CAST(age AS INTEGER) AS age,
+  CASE WHEN f >= 0.8 THEN 2 WHEN m >= 0.8 THEN 1 ELSE 0 END AS user_gender FROM imp LEFT JOIN ug USING (customer_id))""",
+        "base AS (SELECT ev.*, CAST(floor((anchor - t_dat) / 7) AS INTEGER) AS week, 1 AS valid FROM ev, a)",
+        f"wk AS (SELECT CAST(unnest(range(1, {weeks + 1})) AS INTEGER) AS w)",
+        CANDS, EV_LABELS,
+        "wanted AS (SELECT DISTINCT article_id FROM cd)",
+        f"cell AS (SELECT article_id, CAST(i AS INTEGER) AS week FROM wanted, range(1, {weeks + 2}) r(i))",
+        f"""gr AS (
+  SELECT customer_id, c.article_id, t_dat, price, c.week, coalesce(valid, 0) AS valid
+  FROM cell c LEFT JOIN base b ON b.article_id = c.article_id AND b.week = c.week
+  UNION ALL SELECT customer_id, article_id, t_dat, price, week, valid FROM base WHERE week > {weeks + 1})""",
+        "gd AS (SELECT gr.* REPLACE (CASE WHEN valid = 0 THEN anchor - (7 * week - 1) ELSE t_dat END AS t_dat) FROM gr, a)",
+        item_week_sql(weeks),
+        "lastp AS (SELECT article_id, week, max_by(price, (t_dat, customer_id, price)) AS price FROM base GROUP BY ALL)",
+        f"past AS (SELECT base.*, product_code FROM base LEFT JOIN item USING (article_id) WHERE week > {weeks - 1})",
+        "am AS (SELECT article_id, avg(week) AS article_time_mean FROM past GROUP BY ALL)",
+        """ch AS (SELECT customer_id, min(week) AS customer_id_last_time, max(week) AS customer_id_first_time,
+  avg(week) AS customer_id_time_mean, max(week) - min(week) AS customer_id_gap,
+  count(*) / nullif(max(week) - min(week), 0) AS customer_daily_bought, median(price) AS customer_id_price_median
+  FROM past GROUP BY customer_id)""",
+        """y1 AS (SELECT article_id, i AS week, count(*) AS article_id_week_shift52 FROM past, range(1, 6) r(i)
+  WHERE week >= i + 1 AND week < i + 54 GROUP BY ALL)""",
+        """y2 AS (SELECT product_code, i AS week, count(*) AS product_code_week_shift52 FROM past, range(1, 6) r(i)
+  WHERE week >= i + 1 AND week < i + 54 GROUP BY ALL)""",
+        f"""full_rows AS (
+  SELECT cd.customer_id, cd.article_id, cd.week, CASE WHEN el.customer_id IS NULL THEN 0 ELSE 1 END AS label,
+    iw.* EXCLUDE (article_id, week), lastp.price, users.* EXCLUDE (customer_id),
+    {", ".join("item." + c for c in ITEM_FEATURES)}, am.article_time_mean, ch.* EXCLUDE (customer_id),
+    list_sum(list_transform(range(1, 65), lambda i: u.embedding[i]::DOUBLE * v.embedding[i]::DOUBLE)) AS wv_similarity,
+    customer_id_price_median - lastp.price AS customer_article_price_gap,
+    article_id_week_shift52, product_code_week_shift52,
+    i_sale / article_id_week_shift52 AS "article_id_week_1/52", i_sale / product_code_week_shift52 AS "product_code_week_1/52"
+  FROM cd LEFT JOIN el ON el.customer_id = cd.customer_id AND el.article_id = cd.article_id AND el.week = cd.week
+  LEFT JOIN iw ON iw.article_id = cd.article_id AND iw.week = cd.week + 1
+  LEFT JOIN lastp ON lastp.article_id = cd.article_id AND lastp.week = cd.week + 1
+  LEFT JOIN users ON users.customer_id = cd.customer_id LEFT JOIN item ON item.article_id = cd.article_id
+  LEFT JOIN am ON am.article_id = cd.article_id LEFT JOIN ch ON ch.customer_id = cd.customer_id
+  LEFT JOIN embeddings u ON u.vec_id = cd.customer_id LEFT JOIN embeddings v ON v.vec_id = cd.article_id
+  LEFT JOIN y1 ON y1.article_id = cd.article_id AND y1.week = cd.week
+  LEFT JOIN y2 ON y2.product_code = iw.product_code AND y2.week = cd.week
+  WHERE (cd.customer_id, cd.week) IN (SELECT (customer_id, week) FROM el))""",
+    ]
+    return with_(*ctes) + """SELECT customer_id, article_id, week, label,
+  round(CAST(COLUMNS(* EXCLUDE (customer_id, article_id, week, label, product_code)) AS DOUBLE), 3) FROM full_rows"""
+
+
+@query("w03_training_rows", _training_sql(4))
 def w03(t):
     _, rows = training(t)
-    numbers = [c for c in weekly.model_features(rows)]
+    numbers = weekly.model_features(rows)
     return rows.select("customer_id", "article_id", "week", "label", *[
         F.round(F.col(f"`{c}`").cast("double"), 3).alias(c) for c in numbers])
 
