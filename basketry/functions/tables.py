@@ -23,6 +23,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative Spark ML trainers cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
