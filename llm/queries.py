@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact_dedup, mixing, packing, quality_rules, token_counts, token_files
+from llm import chat, exact_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts, token_files
 from llm.common import durable, stage_folder
 
 END_ID = 2
@@ -57,13 +57,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_token_files, op6_source_mix, op7_chat_format,
-                            op8_exact_dedup, op10_quality_rules)}
+                            op8_exact_dedup, op9_suffix_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op6_source_mix": r"""
