@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact_dedup, mixing, packing, quality_rules, suffix_dedup, token_counts, token_files
+from llm import chat, exact_dedup, kneser_ney, mixing, ngram_join, packing, quality_rules, suffix_dedup, token_counts, token_files
 from llm.common import durable, stage_folder
 
 END_ID = 2
@@ -32,6 +32,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, CAPACITY).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), 4, 85)
+
+
+def op3_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("quality") == 1)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), TOKEN_LIMIT)
 
@@ -66,7 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op5_token_files, op6_source_mix, op7_chat_format,
+    f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_kneser_ney_quality, op4_token_counts, op5_token_files, op6_source_mix, op7_chat_format,
                             op8_exact_dedup, op9_suffix_dedup, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {
