@@ -93,7 +93,7 @@ def induce(text: np.ndarray, direct: np.ndarray, rises: np.ndarray, member: np.n
     return np.concatenate(done) if done else np.zeros(0, np.int64)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, rows: int = 40_000) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int, rows: int = 16_000) -> np.ndarray:
     """Length of the common beginning of each suffix in order and the one before it, up to ``depth`` (0 for the first)."""
     out = np.zeros(len(order), np.int64)
     wide = -(-depth // 8) * 8

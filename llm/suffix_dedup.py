@@ -35,8 +35,8 @@ from llm.common import durable, ragged, slices
 from llm.suffix_array import repeated_starts, words_at
 
 GRAM = 16
-PIECE = 2_000_000  # bytes worked on at once when anchors are found
-BATCH = 3_000_000  # bytes of contexts sorted at once
+PIECE = 1_000_000  # bytes worked on at once when anchors are found
+BATCH = 1_500_000  # bytes of contexts sorted at once
 HEAVY = 4096  # different contexts of an anchor from which they are cut
 CUT = 32  # starts of such a cut
 _PLACE = np.uint64(0xFFFFFF)
@@ -93,7 +93,7 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]
         cut = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])))
         low = starts[cut]
         width = np.diff(np.append(cut, len(starts)))
-        power, inverse = _powers(max(1 << 21, 1 << int(len(data) + 1).bit_length()))
+        power, inverse = _powers(max(1 << 20, 1 << int(len(data) + 1).bit_length()))
         sums = np.append(np.uint64(0), np.cumsum(_BYTES[data] * power[:len(data)]))
         context = (sums[low + width + length - 1] - sums[low]) * inverse[low]
         context = _mix(context + width.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
