@@ -11,7 +11,7 @@ import numpy as np
 from llm.common import ragged, slices
 from llm.segments import SegmentCache, code_points
 
-CHARS = 1_500_000  # code points handled at once
+CHARS = 600_000  # code points handled at once
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = range(5)
 
 

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.common import lean
+
 #: The markers of the template.
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
@@ -111,7 +113,7 @@ def format_chat(turns: DataFrame, parts_col: str | None = None, loss_roles: tupl
                         text(text_col).alias("text"), (F.col(parts_col) if parts_col else F.lit(None)).cast("string").alias("parts"))
     # nullable integers would turn into floats on the way through pandas
     kept = rows.select(F.col("conv_id").cast("string").alias("conv_id"), F.col("turn").cast("string").alias("turn"), "role", "text", "parts")
-    made = kept.mapInPandas(run, "conv_id string, turn string, formatted string, loss_start int, loss_end int, attachments "
+    made = kept.mapInPandas(lean(run), "conv_id string, turn string, formatted string, loss_start int, loss_end int, attachments "
                                  "array<struct<kind: string, ref: string, at: int, tokens: int>>, attachment_tokens long")
     return made.withColumn("conv_id", F.col("conv_id").cast("long")).withColumn("turn", F.col("turn").cast("long"))
 
@@ -158,5 +160,5 @@ def digests(formatted: DataFrame) -> DataFrame:
     COLUMNS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     rows = formatted.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv_id"), "turn", "formatted", "loss_start", "loss_end")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")
-    read = ordered.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    read = ordered.mapInPandas(lean(run), "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return read.withColumn("conv_id", F.when(F.col("conv_id") != "", F.col("conv_id")).cast("long"))

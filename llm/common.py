@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +34,25 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(run: Callable) -> Callable:
+    """A function over batches that gives its worker's free memory back to the system when a task ends: workers live on
+    between tasks, and several share one executor."""
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items of at most ``limit`` in total; a larger item stands alone."""
     start, total = 0, 0

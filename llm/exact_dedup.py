@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import SPACES, durable
+from llm.common import SPACES, durable, lean
 
 SPILL_BYTES = 96_000_000
 LOCAL_BYTES = 48_000_000
@@ -187,14 +187,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.length(text).cast("long").alias("points"),
                        F.sha2(plain, 256).alias("sha"), plain.alias("text"))
     local = durable(rows.mapInPandas(
-        _local, "id long, points long, sha string, owner long, row long, text binary"), "dedup")
+        lean(_local), "id long, points long, sha string, owner long, row long, text binary"), "dedup")
     # the best row of each local owner, without the texts
     order = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("row").alias("r"))
     best = local.groupBy("owner").agg(F.min(order).alias("best"), F.count("*").alias("n"))
     sent = local.filter(F.col("text").isNotNull()).select("owner", "text").join(best, "owner").select(
         "owner", "text", (-F.col("best.p")).alias("points"), F.col("best.i").alias("id"), F.col("best.r").alias("row"), "n")
     found = sent.repartition(F.length("text"), F.xxhash64("text")).mapInPandas(
-        _owners, "owner long, keep_id long, keep_row long, group_size long")
+        lean(_owners), "owner long, keep_id long, keep_row long, group_size long")
     return local.select("id", "sha", "owner", "row").join(found, "owner").select(
         F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.col("sha").alias("text_sha256"))

@@ -33,13 +33,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import durable, slices
+from llm.common import durable, lean, slices
 
 ORDER = 5
 PRIOR = 300
 QUANTILE, SPREAD = 0.9, 5.0
 HELD_OUT = 5
-SLICE = 2_000_000  # bytes worked on at once
+SLICE = 1_000_000  # bytes worked on at once
 PAYLOAD = 8_000_000  # bytes of text in one compressed row
 BROADCAST_ROWS = 1_000_000  # labels of up to so many documents are copied to all tasks, others are joined
 
@@ -192,16 +192,16 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
         "id", "lang", "text", "chunk", F.coalesce("mark", F.lit(0)).alias("mark"))
 
     grams = durable(rows.select("chunk", "lang", (F.col("mark") == 1).alias("train"), "text").mapInPandas(
-        _gram_rows(order), "chunk string, lang string, gram long, count long"), "grams")
+        lean(_gram_rows(order)), "chunk string, lang string, gram long, count long"), "grams")
     counts = durable(grams.groupBy("lang", "gram").agg(F.sum("count").alias("c")), "counts")
     tables = model_tables(counts.filter("c > 0"), order)
     p = probabilities(counts.select("lang", "gram"), tables)
     lists = grams.select("chunk", "lang", "gram").join(p, ["lang", "gram"]).groupBy("chunk", "lang").agg(
         F.collect_list(F.struct("gram", F.log("p").cast("float").alias("log"))).alias("g")).select(
         "chunk", "lang", F.col("g.gram").alias("grams"), F.col("g.log").alias("logs"))
-    packed = rows.select("id", "lang", "chunk", "mark", "text").mapInPandas(_payload, "chunk string, lang string, data binary")
+    packed = rows.select("id", "lang", "chunk", "mark", "text").mapInPandas(lean(_payload), "chunk string, lang string, data binary")
     scored = packed.join(lists, ["chunk", "lang"], "left").select("lang", "data", "grams", "logs").mapInPandas(
-        _scores(order), "id string, lang string, mark int, n_bytes long, loss double")
+        lean(_scores(order)), "id string, lang string, mark int, n_bytes long, loss double")
     scored = durable(scored, "scores")
 
     means = scored.filter("mark > 0 AND n_bytes > 0").groupBy("lang").agg((F.sum("loss") / F.sum("n_bytes")).alias("mean"))

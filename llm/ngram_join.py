@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import durable
+from llm.common import durable, lean
 from llm.components import connected_components
 from llm.shingles import mix, shingle_sets
 
@@ -90,7 +90,7 @@ def _sum_chunk(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 def sketch(sets: DataFrame) -> np.ndarray:
     """How often shingles occur, never too low: ROWS x WIDTH counters (16 MB) whatever the input."""
-    parts = sets.select("tokens").mapInPandas(_sketch_part, "chunk int, counts binary")
+    parts = sets.select("tokens").mapInPandas(lean(_sketch_part), "chunk int, counts binary")
     rows = parts.groupBy("chunk").applyInPandas(_sum_chunk, "chunk int, counts binary").collect()
     whole = b"".join(bytes(r["counts"]) for r in sorted(rows, key=lambda r: r["chunk"]))
     return np.frombuffer(whole, np.int32).reshape(ROWS, WIDTH) if whole else np.zeros((ROWS, WIDTH), np.int32)
@@ -160,7 +160,7 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     named = docs.select(name.alias("name"), text.alias("text"))
     base = durable(named.mapInPandas(
-        _sieve_rows(n, percent), "name string, n long, cls long, check long, extra long, prefix array<long>"), "shingles")
+        lean(_sieve_rows(n, percent)), "name string, n long, cls long, check long, extra long, prefix array<long>"), "shingles")
     rows = base.select(F.when(F.col("name") != "", F.col("name").cast("long")).alias("id"), "name", "n", "cls", "check", "extra")
     full = rows.filter("n > 0")
     classes = durable(full.groupBy("cls").agg(F.min("id").alias("low_id"), F.min("name").alias("name"), F.max("n").alias("n"),
@@ -181,8 +181,8 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     bitmap = np.zeros(BITMAP // 64, np.int64)
     for r in words:  # at most BITMAP / 64 rows
         bitmap[r["word"]] = r["bits"]
-    some = named.withColumn("place", place).mapInPandas(_wanted(bitmap), "name string, text string, place long")
-    sets = durable(some.join(left, "name").select("cls", "text").mapInPandas(_sets(n), "cls long, tokens array<long>")
+    some = named.withColumn("place", place).mapInPandas(lean(_wanted(bitmap)), "name string, text string, place long")
+    sets = durable(some.join(left, "name").select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>")
                    .join(left.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
     return _finish(spark, rows, classes, sets, percent, id_col)
 
@@ -190,7 +190,7 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
 def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, id_col: str) -> DataFrame:
     # 2. postings from rare to frequent
     counts = spark.sparkContext.broadcast(sketch(sets))
-    chosen = sets.mapInPandas(_postings(counts, percent), "cls long, n long, extra long, typical double, prefix array<long>")
+    chosen = sets.mapInPandas(lean(_postings(counts, percent)), "cls long, n long, extra long, typical double, prefix array<long>")
     postings = durable(chosen.select("cls", "extra", "typical", F.explode("prefix").alias("token")), "postings")
     # 3. stars around the most typical set of each posting list, first over all, then between components
     links = spark.createDataFrame([], "a long, b long")

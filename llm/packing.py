@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from llm.byte_bpe import encoder
-from llm.common import durable
+from llm.common import durable, lean
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -53,7 +53,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col:
                 yield pd.DataFrame(rows, columns=columns)
 
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    made = rows.mapInPandas(run, "id string, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    made = rows.mapInPandas(lean(run), "id string, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
     return made.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
@@ -150,7 +150,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFr
                                              [*names, "_part", "_number"])
 
     names = pieces.columns
-    numbered = durable(pieces.mapInArrow(number, schema), "pieces")
+    numbered = durable(pieces.mapInArrow(lean(number), schema), "pieces")
     length = F.col(length_col)
     # one row per task and length; its sums by length are the histogram
     tallies = numbered.filter(length >= 1).groupBy("_part", length.alias("_length")).agg(F.count("*").alias("_n"))
@@ -178,7 +178,7 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFr
     joined = numbered.join(bases.withColumnRenamed("_part", "_p"), (F.col("_part") == F.col("_p")) & (length == F.col("_length")), "left")
     joined = joined.select(*names, "_number", "_base")
     out = joined.columns
-    return joined.mapInArrow(place, T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
+    return joined.mapInArrow(lean(place), T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()),
                                                   T.StructField("offset", T.LongType())]))
 
 

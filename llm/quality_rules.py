@@ -20,10 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import durable, slices
+from llm.common import durable, lean, slices
 from llm.segments import code_points, segment_keys
 
-CHARS = 1_500_000
+CHARS = 600_000
 SAMPLE, TREES, PSI = 8192, 200, 128  # documents for the forest, trees, documents per tree
 LABELLED = 20_000  # labelled rows for the threshold
 KEEP = 0.995
@@ -170,7 +170,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = "id string, " + ", ".join(f"{c} long" for c in BASE + MORE)
-    return rows.mapInPandas(run, schema).withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumn(
+    return rows.mapInPandas(lean(run), schema).withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -210,7 +210,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_
             yield batch
 
     scored = stats.withColumn("id", F.col("id").cast("string")).mapInPandas(
-        run, f"id string, {', '.join(f'{c} long' for c in BASE + MORE)}, base_failed boolean, oddness double")
+        lean(run), f"id string, {', '.join(f'{c} long' for c in BASE + MORE)}, base_failed boolean, oddness double")
     return scored.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *BASE, *MORE, "base_failed",
                          (~F.col("base_failed") & (F.col("oddness") <= limit)).alias("kept"),
                          "oddness", F.lit(limit).alias("oddness_limit"))

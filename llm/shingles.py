@@ -10,7 +10,7 @@ import numpy as np
 from llm.common import slices
 from llm.segments import code_points, segment_keys
 
-CHARS = 1_500_000
+CHARS = 600_000
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import durable, ragged, slices
+from llm.common import durable, lean, ragged, slices
 from llm.suffix_array import repeated_starts, words_at
 
 GRAM = 16
@@ -249,7 +249,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     long_texts = docs.select(name.alias("name"), *_key(text), text.cast("binary").alias("text")).filter(F.octet_length("text") >= length)
 
     found = long_texts.select("k1", "k2", "text").mapInPandas(
-        _anchor_rows(length), "gram long, context long, k1 long, k2 long, width int, places array<int>")
+        lean(_anchor_rows(length)), "gram long, context long, k1 long, k2 long, width int, places array<int>")
     found = found.repartition("gram")
     several = found.groupBy("gram").agg(
         *(f(c).alias(f"{f.__name__}_{c}") for c in ("k1", "k2", "context") for f in (F.min, F.max)), F.max(F.size("places")).alias("times"))
@@ -267,17 +267,17 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         "gram", "context", "place", "width", "many", F.coalesce("heavy", F.lit(False)).alias("heavy"))).alias("wanted"))
 
     classes = base.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("name").alias("name"))
-    packed = long_texts.mapInPandas(_pack, "name string, k1 long, k2 long, text binary")
+    packed = long_texts.mapInPandas(lean(_pack), "name string, k1 long, k2 long, text binary")
     cut_out = packed.join(classes.select("k1", "k2", "name").join(wanted, ["k1", "k2"]), ["k1", "k2", "name"]).select("text", "wanted")
-    dealt = cut_out.mapInPandas(_contexts(length), "deal long, gram long, context long, base int, many boolean, data binary")
-    runs = dealt.repartition("deal").sortWithinPartitions("deal").mapInPandas(_sorted_groups(length), "gram long, context long, a int, b int")
+    dealt = cut_out.mapInPandas(lean(_contexts(length)), "deal long, gram long, context long, base int, many boolean, data binary")
+    runs = dealt.repartition("deal").sortWithinPartitions("deal").mapInPandas(lean(_sorted_groups(length)), "gram long, context long, a int, b int")
 
     per_text = places.join(runs, ["gram", "context"]).select(
         "k1", "k2", F.explode("places").alias("place"), "a", "b").groupBy("k1", "k2").agg(F.collect_list(F.struct(
             (F.col("place") + F.col("a")).alias("a"), (F.col("place") + F.col("b")).alias("b"))).alias("runs"))
     single = classes.filter(F.col("copies") == 1).select("k1", "k2", "name")
     left = packed.join(single.join(per_text, ["k1", "k2"]), ["k1", "k2", "name"]).select("k1", "k2", "text", "runs").mapInPandas(
-        _covered(length), "k1 long, k2 long, removed long, spans array<array<int>>, sha string")
+        lean(_covered(length)), "k1 long, k2 long, removed long, spans array<array<int>>, sha string")
     rows = base.alias("d").join(classes.alias("c").select("k1", "k2", "copies"), ["k1", "k2"]).join(
         left.select("k1", "k2", "removed", "spans", F.col("sha").alias("left_sha")), ["k1", "k2"], "left")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)

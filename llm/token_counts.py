@@ -22,10 +22,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import ragged, slices
+from llm.common import lean, ragged, slices
 from llm.segments import SegmentCache, code_points
 
-CHARS = 1_500_000  # code points handled at once
+CHARS = 600_000  # code points handled at once
 LONG = 400
 MARK = "▁"
 
@@ -171,5 +171,5 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(F.coalesce(text_col, F.lit(""))).cast("long").alias("n_bytes"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    counted = rows.mapInPandas(count, f"id {kind}, n_bytes long, n_tokens long")
+    counted = rows.mapInPandas(lean(count), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
