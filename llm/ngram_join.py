@@ -10,13 +10,14 @@ shingles, the first ``size - need + l`` of both hold at least l common ones. Tha
    Each set picks its own l, from the estimated cost: the postings it has to read, and the candidates that have to be
    verified, of which there are at most postings / l. Frequent shingles in a prefix thus make it longer and ask for more
    matches.
-3. Stars. In the postings of a shingle, all sets are tried against the most typical one only. The links found join most
+3. Star. In the postings of a shingle, all sets are tried against the most typical one only. The links found join most
    of a group of copies, however large, by one link each.
-4. Rest. Pairs that share a prefix shingle but lie in different components are counted; those with
-   min(l of both) matches or more are verified. Pairs within a component cannot change it and are never made.
+4. Rest. Pairs that share a prefix shingle but lie in different components are counted, over the prefixes that the sizes
+   of the two call for; those with min(l of both) matches or more are verified. Pairs within a component cannot change it
+   and are never made.
 
-All verification is exact on whole sets (of 64-bit shingle hashes). Stars repeat until they find next to nothing; what
-they leave is settled by step 4 alone, so that no link between components is lost.
+All verification is exact on whole sets (of 64-bit shingle hashes). Step 4 alone settles what the star leaves, so that no
+link between components is lost.
 
 Defined cases: a null or empty text, or one without words, has no shingles and no links; a text of fewer than n words is
 one shingle; equal sets are linked; repeated rows and null ids are rows like others (a component of null ids alone has a
@@ -41,7 +42,7 @@ ROWS, WIDTH = 2, 1 << 21  # the sketch: counters per row
 EXTRA = 16  # the most extra matches a set may ask for
 VERIFY = 0.05  # cost of verifying one shingle of a candidate, in postings read
 BITMAP = 1 << 23
-STARS = 3
+STARS = 1
 
 
 def needed(size: np.ndarray, percent: int) -> np.ndarray:
@@ -191,17 +192,18 @@ def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent
     # 2. postings from rare to frequent
     counts = spark.sparkContext.broadcast(sketch(sets))
     chosen = sets.mapInPandas(lean(_postings(counts, percent)), "cls long, n long, extra long, typical double, prefix array<long>")
-    postings = durable(chosen.select("cls", "extra", "typical", F.explode("prefix").alias("token")), "postings")
+    postings = durable(chosen.select("cls", "n", "extra", "typical", F.posexplode("prefix").alias("pos", "token")), "postings")
     # 3. stars around the most typical set of each posting list, first over all, then between components
     links = spark.createDataFrame([], "a long, b long")
     tried = spark.createDataFrame([], "a long, b long")
     components = None
     for _ in range(STARS):
         marked = _marked(postings, components)
-        hubs = marked.groupBy("token").agg(F.max(F.struct("typical", "cls", "component")).alias("hub"),
+        hubs = marked.groupBy("token").agg(F.max(F.struct("typical", "cls", "component", "n", "extra", "pos")).alias("hub"),
                                            F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2")
-        pairs = marked.join(hubs.select("token", "hub"), "token").filter("component != hub.component").select(
-            F.col("cls").alias("a"), F.col("hub.cls").alias("b"))
+        hubs = hubs.select("token", "hub.*")
+        pairs = marked.alias("x").join(hubs.alias("y"), F.expr(f"x.token = y.token AND x.component != y.component AND {_near(percent)}")).select(
+            F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
         # every set with the hub it shares most of its prefix with
         best = pairs.groupBy("a", "b").agg(F.count("*").alias("common")).join(tried, ["a", "b"], "left_anti").groupBy("a").agg(
             F.max(F.struct("common", "b")).alias("m")).select("a", "m.b")
@@ -215,8 +217,8 @@ def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent
     # 4. pairs of different components with enough common prefix shingles
     marked = _marked(postings, components)
     mixed = marked.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2").select("token")
-    open_ = durable(marked.join(mixed, "token", "left_semi").select("token", "cls", "extra", "component"), "open")
-    pairs = open_.alias("x").join(open_.alias("y"), F.expr("x.token = y.token AND x.component < y.component")).select(
+    open_ = durable(marked.join(mixed, "token", "left_semi").select("token", "pos", "cls", "n", "extra", "component"), "open")
+    pairs = open_.alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token AND x.component < y.component AND {_near(percent)}")).select(
         F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.least("x.extra", "y.extra").alias("extra"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("common"), F.first("extra").alias("extra")).filter("common >= extra").select("a", "b")
     rest = durable(_links(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
@@ -231,6 +233,14 @@ def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _near(percent: int) -> str:
+    """Whether a shared shingle of x and y lies in both prefixes that their two sizes call for: similar sets share at least
+    o = t / (1 + t) of their sizes' sum, so l matches are among the first size - o + l of each."""
+    o = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
+    extra = "least(x.extra, y.extra)"
+    return (f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND x.pos < x.n - {o} + {extra} AND y.pos < y.n - {o} + {extra}")
+
+
 def _marked(postings: DataFrame, components: DataFrame | None) -> DataFrame:
     if components is None:
         return postings.withColumn("component", F.col("cls"))
