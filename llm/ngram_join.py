@@ -40,7 +40,7 @@ from llm.shingles import mix, shingle_sets
 SIEVE = 25  # one extra match per so many shingles
 ROWS, WIDTH = 2, 1 << 21  # the sketch: counters per row
 EXTRA = 16  # the most extra matches a set may ask for
-VERIFY = 0.05  # cost of verifying one shingle of a candidate, in postings read
+VERIFY = 0.001  # cost of verifying one shingle of a candidate, in postings read
 BITMAP = 1 << 23
 STARS = 1
 
