@@ -116,10 +116,10 @@ def _grouped(rows: Iterator[tuple[bytes, list]], limit: int) -> Iterator[list]:
 
     Past ``limit`` bytes the larger subtrees (by the two bytes after what all strings share) are spilled: their rows, and
     those that follow, go to scratch files, and each file is worked through in the same way afterwards."""
-    trie, files = Trie(), {}
+    trie, files, depths = Trie(), {}, []  # the oldest depth first: a string goes to one file from then on
     with tempfile.TemporaryDirectory() as folder:
         for text, values in rows:
-            file = next((files[text[:d]] for d in {len(k) for k in files} if text[:d] in files), None)
+            file = next((files[text[:d]] for d in depths if text[:d] in files), None)
             if file:
                 pickle.dump((text, values), file)
                 continue
@@ -129,7 +129,9 @@ def _grouped(rows: Iterator[tuple[bytes, list]], limit: int) -> Iterator[list]:
                 depth = len(os.path.commonprefix([min(held)[0], max(held)[0]])) + 2
                 sizes: dict[bytes, int] = {}
                 for data, _ in held:
-                    sizes[data[:depth]] = sizes.get(data[:depth], 0) + len(data)
+                    if len(data) >= depth:
+                        sizes[data[:depth]] = sizes.get(data[:depth], 0) + len(data)
+                depths += [depth] * (depth not in depths)
                 for key in sorted(sizes, key=sizes.get)[len(sizes) // 2:]:
                     files[key] = open(f"{folder}/{len(files)}", "w+b")
                 trie = Trie()

@@ -155,7 +155,8 @@ def _scores(order: int):
         for batch in batches:
             for lang, data, grams, logs in zip(batch["lang"], batch["data"], batch["grams"], batch["logs"]):
                 names, marks, texts = pickle.loads(opener.decompress(data))
-                grams, logs = np.asarray(grams, np.int64), np.asarray(logs, np.float64)
+                # a chunk of empty texts has no list
+                grams, logs = np.asarray([] if grams is None else grams, np.int64), np.asarray([] if logs is None else logs, np.float64)
                 by = np.argsort(grams)
                 grams, logs = grams[by], logs[by]
                 sums = []
