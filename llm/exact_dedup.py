@@ -116,12 +116,13 @@ def _grouped(rows: Iterator[tuple[bytes, list]], limit: int) -> Iterator[list]:
 
     Past ``limit`` bytes the larger subtrees (by the two bytes after what all strings share) are spilled: their rows, and
     those that follow, go to scratch files, and each file is worked through in the same way afterwards."""
-    trie, files, depths = Trie(), {}, []  # the oldest depth first: a string goes to one file from then on
+    trie, files, depths = Trie(), {}, set()
     with tempfile.TemporaryDirectory() as folder:
         for text, values in rows:
-            file = next((files[text[:d]] for d in depths if text[:d] in files), None)
-            if file:
-                pickle.dump((text, values), file)
+            # of several files the oldest: a string stays with the first file that took it
+            spilled = min((files[text[:d]] for d in depths if text[:d] in files), default=None, key=lambda f: f[0])
+            if spilled:
+                pickle.dump((text, values), spilled[1])
                 continue
             trie.insert(text, list).extend(values)
             if trie.bytes > limit:
@@ -131,19 +132,19 @@ def _grouped(rows: Iterator[tuple[bytes, list]], limit: int) -> Iterator[list]:
                 for data, _ in held:
                     if len(data) >= depth:
                         sizes[data[:depth]] = sizes.get(data[:depth], 0) + len(data)
-                depths += [depth] * (depth not in depths)
+                depths.add(depth)
                 for key in sorted(sizes, key=sizes.get)[len(sizes) // 2:]:
-                    files[key] = open(f"{folder}/{len(files)}", "w+b")
+                    files[key] = (len(files), open(f"{folder}/{len(files)}", "w+b"))
                 trie = Trie()
                 for data, old in held:
                     if data[:depth] in files:
-                        pickle.dump((data, old), files[data[:depth]])
+                        pickle.dump((data, old), files[data[:depth]][1])
                     else:
                         trie.insert(data, list).extend(old)
         for _, values in trie.items():
             yield values
         del trie
-        for file in files.values():
+        for _, file in files.values():
             yield from _grouped(_read(file), limit)
             file.close()
 

@@ -392,7 +392,9 @@ def test_kneser_ney(spark, docs, rows, empty):
     for lang in ("en", "de", None):
         train = [(t or "").encode() for d, t, g, _ in rows if g == lang and d in trusted]
         models[lang] = _kneser_ney(train, 3)
-    want = sorted((str(d), len((t or "").encode()), round(models[g]((t or "").encode()), 6) if t else None) for d, t, g, _ in rows)
-    assert sorted((str(r.doc_id), r.n_bytes, round(r.perplexity, 6) if r.perplexity else None) for r in got) == want
+    want = sorted((str(d), len((t or "").encode()), models[g]((t or "").encode()) if t else 0) for d, t, g, _ in rows)
+    have = sorted((str(r.doc_id), r.n_bytes, r.perplexity or 0) for r in got)
+    assert [r[:2] for r in have] == [r[:2] for r in want]
+    assert [r[2] for r in have] == pytest.approx([r[2] for r in want], rel=1e-6)  # logarithms travel in single precision
     assert not any(r.kept for r in got if not r.n_bytes)
     assert kneser_ney.perplexity(empty, labels, F.col("quality") == 1).count() == 0
