@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .tables import durable
 
 SALTS = 16
-BROADCAST_ROWS = 200_000
 
 
 def names(cols: str | Sequence[str]) -> list[str]:
@@ -38,16 +37,6 @@ def salted_lookup(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def stored_lookup(
-    fact: DataFrame, lookup: DataFrame, on: str | Sequence[str], salt_on: str | Sequence[str],
-    rows: int, how: str = "left",
-) -> DataFrame:
-    """Join to a stored lookup of a known number of ``rows``: broadcast when small, else salted."""
-    if rows <= BROADCAST_ROWS:
-        return fact.join(F.broadcast(lookup), names(on), how)
-    return salted_lookup(fact, lookup, on, salt_on, how)
-
-
 def dense_index(rows: DataFrame, order_by: str | Sequence[str], index: str = "index") -> DataFrame:
     """Number ``rows`` 1, 2, 3, .. in the order of ``order_by``.
 

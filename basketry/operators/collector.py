@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Day, week_end, week_start
+from ..functions.skew import salted_lookup
 from ..functions.stats import average_rank
 from ..functions.tables import durable
 from .quantiles import QuantileNormal, min_max
@@ -26,8 +27,12 @@ def week_labels(trans: DataFrame, week: int, anchor: Day, item_id: str = "articl
 
 
 def remove_items(candidates: DataFrame, items: DataFrame, item_id: str = "article_id") -> DataFrame:
-    """Candidates whose item is not listed; rows without an item stay."""
-    return candidates.join(items.select(item_id).distinct(), item_id, "left_anti").select(*candidates.columns)
+    """Candidates whose item is not listed; rows without an item stay.
+
+    Rules for everybody put few items into all lists, so an item's candidates are spread by customer.
+    """
+    listed = items.select(item_id).distinct()
+    return salted_lookup(candidates, listed, item_id, "customer_id", "left_anti").select(*candidates.columns)
 
 
 def mark_labels(candidates: DataFrame, labels: DataFrame, item_id: str = "article_id") -> DataFrame:
@@ -139,21 +144,15 @@ def collect(
     return candidates
 
 
-def compress(
-    customers: DataFrame, candidates: DataFrame, item_id: str = "article_id", size: int = 1000
-) -> DataFrame:
-    """(customer_id, part, items): candidates by rule, score and item; an empty list where none.
-
-    Part 0 is the whole list of a customer with up to ``size`` candidates.
-    """
-    order = Window.partitionBy("customer_id").orderBy("method", F.desc("score"), item_id)
-    rows = candidates.filter(F.col(item_id).isNotNull()).withColumn("_at", F.row_number().over(order) - 1)
-    lists = rows.groupBy("customer_id", F.floor(F.col("_at") / size).cast("int").alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("_at", item_id))).alias("_l"))
+def compress(customers: DataFrame, candidates: DataFrame, item_id: str = "article_id") -> DataFrame:
+    """(customer_id, items): one row per customer, candidates by rule, score and item; an empty list where none."""
+    rows = candidates.filter(F.col(item_id).isNotNull())
+    score = F.col("score")
+    order = F.struct("method", score.isNull().alias("_last"), (-score).alias("_down"), F.col(item_id).alias("_item"))
+    lists = rows.groupBy("customer_id").agg(F.sort_array(F.collect_list(order)).alias("_l"))
     nothing = F.array().cast(f"array<{candidates.schema[item_id].dataType.simpleString()}>")
     return customers.select("customer_id").join(lists, "customer_id", "left").select(
-        "customer_id", F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce(F.col(f"_l.{item_id}"), nothing).alias(item_id))
+        "customer_id", F.coalesce(F.col("_l._item"), nothing).alias(item_id))
 
 
 def pivot_rules(candidates: DataFrame, methods: Sequence[str], item_id: str = "article_id") -> DataFrame:

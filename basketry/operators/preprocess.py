@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import Day, day
-from ..functions.skew import dense_index, names, salted_lookup, stored_lookup
+from ..functions.skew import dense_index, names, salted_lookup
 from ..functions.tables import durable
 from ..schema import ITEM_CODE_COLUMNS, ITEM_FLAG_COLUMNS, Dataset
 
@@ -148,14 +148,12 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def label_encode(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Replace every listed column by its label code."""
     codes = durable(label_codes(df, columns))
-    sizes = {r["feature"]: r["n"] for r in  # one row per column
-             codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for c in columns:
         lookup = codes.filter(F.col("feature") == c).select(
             F.col("value").alias("_value"), F.col("code").alias("_code"))
         out = out.withColumn("_value", F.col(c).cast("string"))
-        out = stored_lookup(out, lookup, "_value", key, sizes.get(c, 0))
+        out = salted_lookup(out, lookup, "_value", key)
         out = out.withColumn(c, F.col("_code")).drop("_value", "_code")
     return out.select(*df.columns)
 
@@ -208,10 +206,7 @@ def label_counts(held_out: DataFrame, item_id: str = "article_id") -> DataFrame:
 
 
 def label_lists(held_out: DataFrame, item_id: str = "article_id") -> DataFrame:
-    """(customer_id, part, items): held-out purchases in date and then item order, repeats kept.
-
-    Part 0 is the whole list of a customer with up to 1000 purchases.
-    """
+    """(customer_id, items): one row per customer, held-out purchases in date and then item order, repeats kept."""
     from .sequences import item_lists
 
     return item_lists(held_out, item_id)

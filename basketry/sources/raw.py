@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from ..schema import RAW_CUSTOMERS, RAW_ITEMS, RAW_TRANSACTIONS, Dataset
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema; descriptions may span lines and hold quotes."""
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", schema == RAW_ITEMS).csv(path))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header and a declared schema; values may hold quotes, and line ends with ``multi_line``.
+
+    The header has to name the columns of the schema in their order; another header, or a row that does not fit, is an error.
+    """
+    return (spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+            .option("mode", "FAILFAST").option("multiLine", multi_line).csv(path))
 
 
 def read_raw(
@@ -24,7 +27,7 @@ def read_raw(
 ) -> Dataset:
     return Dataset(
         user=read_csv(spark, f"{folder}/customers.csv", user_schema),
-        item=read_csv(spark, f"{folder}/articles.csv", item_schema),
+        item=read_csv(spark, f"{folder}/articles.csv", item_schema, multi_line=True),
         inter=read_csv(spark, f"{folder}/transactions_train.csv", inter_schema),
     )
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.functions.skew import dense_index, salted_lookup
 from basketry.functions.stats import average_rank_by_value
@@ -103,26 +104,80 @@ def test_similarity_with_runs(spark, seed):
 
 
 def test_similarity_over_blocks(spark, monkeypatch):
-    """With a short reach, exactly the pairs of runs closer than it are counted."""
+    """With a short reach, pairs of runs further apart weigh nothing but stay related."""
     rows = [(dt.date(2020, 1, 1) + dt.timedelta(i), 1, i) for i in range(40)]
     df = spark.createDataFrame(rows, "t_dat date, customer_id int, article_id int")
     monkeypatch.setattr(itemcf, "REACH", 7)
     got = {(x.src, x.dst): x.sim for x in itemcf.similar_items(df, top_k=1000, min_related=1).collect()}
     full = brute_similarity(rows)
-    assert got.keys() == {(a, b) for a, b in full if abs(a - b) <= 7}
-    assert all(math.isclose(v, full[k], rel_tol=1e-9) for k, v in got.items())
+    assert got.keys() == full.keys()
+    assert all(math.isclose(v, full[k], rel_tol=1e-9) if abs(k[0] - k[1]) <= 7 else v == 0 for k, v in got.items())
+
+
+def test_similarity_beyond_reach(spark):
+    """Items further apart than the reach count as related, as in a literal loop over the sequence."""
+    days = [1] + [2] * 2200 + [3, 4, 5, 6, 7]
+    rows = [(dt.date(2020, 1, 1), 1, 1)] + [(dt.date(2020, 1, 2), 1, 2)] * 2200 + [
+        (dt.date(2020, 1, k), 1, k) for k in (3, 4, 5, 6, 7)]
+    assert [x[2] for x in rows] == days
+    df = spark.createDataFrame(rows, "t_dat date, customer_id int, article_id int")
+    got = {(x.src, x.dst): x.sim for x in itemcf.similar_items(df, top_k=6).collect()}
+    seq, want = np.array(days), defaultdict(dict)
+    for a in sorted(set(days[:-1])):
+        at = np.flatnonzero(seq[:-1] == a)
+        for b in sorted(set(days)):
+            to = np.flatnonzero(seq == b)
+            gap = to[None, :] - at[:, None]
+            w = np.where(gap == 0, 0.0, np.where(gap > 0, 1.0, 0.9) * 0.7 ** (np.abs(gap) - 1.0))
+            if (gap != 0).any():
+                want[a][b] = w.sum() / math.log(1 + len(days))
+    expected = {(a, b): v for a, row in want.items() if len(row) >= 5
+                for b, v in sorted(row.items(), key=lambda kv: (-round(kv[1], 9), kv[0]))[:6]}
+    assert got.keys() == expected.keys() and any(a == 1 for a, _ in got)
+    assert all(math.isclose(v, expected[k], rel_tol=1e-9) for k, v in got.items())
 
 
 def test_reach_loses_nothing():
     assert 0.7 ** itemcf.REACH == 0.0
 
 
-def test_long_lists_are_cut(spark):
-    rows = [(dt.date(2020, 1, 1) + dt.timedelta(i % 5), 1, i % 3) for i in range(250)]
+def test_long_lists_are_one_row(spark):
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(i % 5), 1, i % 3) for i in range(2500)] + [(dt.date(2020, 1, 9), 2, 7)]
     df = spark.createDataFrame(rows, "t_dat date, customer_id int, article_id int")
-    parts = item_lists(df, size=100).orderBy("part").collect()
-    assert [len(x.article_id) for x in parts] == [100, 100, 50]
-    assert sum((x.article_id for x in parts), []) == [i for _, _, i in sorted(rows)]
+    got = {x.customer_id: x.article_id for x in item_lists(df).collect()}
+    assert got == {1: [i for _, _, i in sorted(rows[:-1])], 2: [7]}
+
+
+def test_bpr_settings_do_not_follow_the_data():
+    import inspect
+
+    assert inspect.signature(train_bpr).parameters["blocks"].default == r.BPR.blocks == r.UserGroupBPR.blocks == 8
+
+
+def test_items_of_another_name_get_groups(spark):
+    trans = spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "customer_id int, thing int")
+    users = spark.createDataFrame([(1, "a"), (2, "b")], "customer_id int, g string")
+    got = r.UserGroupTimeHistory(users, users, trans, ("g",), item_id="thing").retrieve().collect()
+    assert {(x.customer_id, x.thing) for x in got} == {(1, 5), (2, 6)}
+
+
+def test_empty_svd(spark):
+    vectors, values = e.truncated_svd(spark.createDataFrame([], "id int, term string, weight double"), 3)
+    assert vectors.count() == 0 and len(values) == 0
+
+
+def test_raw_reader_checks(spark, tmp_path):
+    from basketry.sources.raw import read_csv
+
+    (tmp_path / "good.csv").write_text('id,note\n1,"two\nlines"\n2,plain\n')
+    (tmp_path / "turned.csv").write_text("note,id\nx,1\n")
+    (tmp_path / "broken.csv").write_text("id,note\nx,plain\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("note", T.StringType())])
+    rows = read_csv(spark, str(tmp_path / "good.csv"), schema, multi_line=True).orderBy("id").collect()
+    assert [tuple(x) for x in rows] == [(1, "two\nlines"), (2, "plain")]
+    for name in ("turned", "broken"):
+        with pytest.raises(Exception, match="CSV|MALFORMED|header"):
+            read_csv(spark, str(tmp_path / f"{name}.csv"), schema).collect()
 
 
 def test_truncated_svd(spark):

@@ -219,7 +219,7 @@ def c08(t):
 
 
 @query("c09_compress", with_(HELD, CAND9) + """
-SELECT c_custkey AS customer_id, 0 AS part, coalesce(l, []) AS article_id FROM customer LEFT JOIN (
+SELECT c_custkey AS customer_id, coalesce(l, []) AS article_id FROM customer LEFT JOIN (
   SELECT customer_id, list(article_id ORDER BY method, score DESC, article_id) AS l FROM c9 GROUP BY customer_id)
 ON customer_id = c_custkey""")
 def c09(t):
@@ -266,12 +266,12 @@ def c12(t):
 
 def three_lists(t):
     h = Held(t)
-    lists = [blend.ranked_lists(x.retrieve().withColumn("prob", F.round("score", 6)), 30) for x in h.rules()]
+    lists = [blend.ranked_lists(x.retrieve().withColumn("prob", F.round("score", 6))) for x in h.rules()]
     return h, lists
 
 
 LISTS = """lst AS (SELECT *, row_number() OVER (PARTITION BY method, customer_id ORDER BY round(score, 6) DESC, article_id) AS rank
-  FROM cand QUALIFY rank <= 30)"""
+  FROM cand)"""
 
 
 def fused_cte(n: int) -> str:

@@ -224,7 +224,7 @@ def p09_train(t):
 
 
 @query("p09_split_labels", with_(EV, EVA) + """
-SELECT customer_id, 0 AS part, list(article_id ORDER BY t_dat, article_id) AS article_id
+SELECT customer_id, list(article_id ORDER BY t_dat, article_id) AS article_id
 FROM ev, a WHERE t_dat >= anchor - 13 AND t_dat < anchor - 6 GROUP BY customer_id""")
 def p09_labels(t):
     return p.label_lists(p.split(t.ev, cal.week_start(1, t.anchor), cal.week_end(1, t.anchor))[1])
@@ -304,7 +304,7 @@ def p16(t):
 
 
 @query("e01_item_sequences", with_(TX) + """
-SELECT customer_id, 0 AS part, list(article_id ORDER BY t_dat, article_id) AS article_id
+SELECT customer_id, list(article_id ORDER BY t_dat, article_id) AS article_id
 FROM tx WHERE t_dat < DATE '2001-01-01' GROUP BY customer_id""")
 def e01(t):
     return item_lists(t.tx.filter(F.col("t_dat") < F.lit("2001-01-01").cast("date")))
