@@ -49,21 +49,28 @@ def needed(size: np.ndarray, percent: int) -> np.ndarray:
     return (size * percent + 99) // 100
 
 
+def _class_keys(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Two hashes of each set; 0 for an empty one."""
+    begin = np.cumsum(sizes) - sizes
+    full = np.flatnonzero(sizes)
+    keys = np.zeros((2, len(sizes)), np.uint64)
+    for k in range(2):  # order does not matter to a sum
+        if len(full):
+            keys[k, full] = mix(np.add.reduceat(mix(sets, np.uint64(k + 11)), begin[full]), sizes[full].astype(np.uint64))
+    return keys
+
+
 def _sieve_rows(n: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names = batch["name"].to_numpy()
+            names, row_keys = batch["name"].to_numpy(), batch["key"].to_numpy()
             for first, sets, sizes in shingle_sets(batch["text"].tolist(), n):
                 begin = np.cumsum(sizes) - sizes
-                full = np.flatnonzero(sizes)
-                keys = np.zeros((2, len(sizes)), np.uint64)
-                for k in range(2):  # order does not matter to a sum
-                    if len(full):
-                        keys[k, full] = mix(np.add.reduceat(mix(sets, np.uint64(k + 11)), begin[full]), sizes[full].astype(np.uint64))
+                keys = _class_keys(sets, sizes)
                 extra = np.maximum(sizes // SIEVE, 1)
                 length = np.where(sizes > 0, np.minimum(sizes - needed(sizes, percent) + extra, sizes), 0)
                 prefixes = [sets[b:b + m].view(np.int64) for b, m in zip(begin.tolist(), length.tolist())]
-                yield pd.DataFrame({"name": names[first:first + len(sizes)], "n": sizes, "cls": keys[0].view(np.int64),
+                yield pd.DataFrame({"name": names[first:first + len(sizes)], "key": row_keys[first:first + len(sizes)], "n": sizes, "cls": keys[0].view(np.int64),
                                     "check": keys[1].view(np.int64), "extra": extra, "prefix": prefixes})
     return run
 
@@ -128,11 +135,15 @@ def _postings(shared, percent: int):
 
 
 def _wanted(bitmap: np.ndarray):
-    """Rows whose name may be wanted; an exact join follows."""
+    """Rows whose key may be wanted, repeated rows of a task once; an exact join follows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             at = batch["place"].to_numpy()
-            yield batch[(bitmap[at >> 6] >> (at & 63)) & 1 == 1]
+            some = batch[(bitmap[at >> 6] >> (at & 63)) & 1 == 1].drop_duplicates("key")
+            some = some[~some["key"].isin(seen)]
+            seen.update(some["key"].tolist())
+            yield some
     return run
 
 
@@ -141,7 +152,8 @@ def _sets(n: int):
         for batch in batches:
             classes = batch["cls"].to_numpy()
             for first, sets, sizes in shingle_sets(batch["text"].tolist(), n):
-                yield pd.DataFrame({"cls": classes[first:first + len(sizes)], "tokens": np.split(sets.view(np.int64), np.cumsum(sizes)[:-1])})
+                rows = pd.DataFrame({"cls": classes[first:first + len(sizes)], "tokens": np.split(sets.view(np.int64), np.cumsum(sizes)[:-1])})
+                yield rows[_class_keys(sets, sizes)[0].view(np.int64) == rows["cls"].to_numpy()]
     return run
 
 
@@ -159,12 +171,13 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    named = docs.select(name.alias("name"), text.alias("text"))
+    # a row is known by its id and text together: ids may be null or shared by different texts
+    named = docs.select(name.alias("name"), text.alias("text")).withColumn("key", F.xxhash64("name", "text"))
     base = durable(named.mapInPandas(
-        lean(_sieve_rows(n, percent)), "name string, n long, cls long, check long, extra long, prefix array<long>"), "shingles")
-    rows = base.select(F.when(F.col("name") != "", F.col("name").cast("long")).alias("id"), "name", "n", "cls", "check", "extra")
+        lean(_sieve_rows(n, percent)), "name string, key long, n long, cls long, check long, extra long, prefix array<long>"), "shingles")
+    rows = base.select(F.when(F.col("name") != "", F.col("name").cast("long")).alias("id"), "key", "n", "cls", "check", "extra")
     full = rows.filter("n > 0")
-    classes = durable(full.groupBy("cls").agg(F.min("id").alias("low_id"), F.min("name").alias("name"), F.max("n").alias("n"),
+    classes = durable(full.groupBy("cls").agg(F.min("id").alias("low_id"), F.min("key").alias("key"), F.max("n").alias("n"),
                                               F.max("extra").alias("extra"), F.min("check").alias("c1"), F.max("check").alias("c2")), "classes")
     if classes.filter("c1 != c2").limit(1).count():
         raise ValueError("two different sets have the same 64-bit hash; give the sets another seed")
@@ -173,18 +186,20 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     tokens = base.select("cls", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low != high").select("token")
     matches = tokens.join(shared, "token", "left_semi").groupBy("cls").agg(F.count("*").alias("matches"))
-    left = durable(classes.join(matches, "cls").filter("matches >= extra").select("cls", "name"), "left")
+    left = durable(classes.join(matches, "cls").filter("matches >= extra").select("cls", "key"), "left")
 
     # sets of what is left, from one row of each class
-    place = F.pmod(F.xxhash64("name"), F.lit(BITMAP))
+    place = F.pmod(F.col("key"), F.lit(BITMAP))
     words = left.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
     bitmap = np.zeros(BITMAP // 64, np.int64)
     for r in words:  # at most BITMAP / 64 rows
         bitmap[r["word"]] = r["bits"]
-    some = named.withColumn("place", place).mapInPandas(lean(_wanted(bitmap)), "name string, text string, place long")
-    sets = durable(some.join(left, "name").select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>")
-                   .join(left.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
+    some = named.select("text", "key", place.alias("place")).mapInPandas(lean(_wanted(bitmap)), "text string, key long, place long")
+    sets = durable(some.join(left, "key").select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>")
+                   .groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
+    if sets.count() != left.count():
+        raise ValueError("two different rows have the same 64-bit hash, or the documents changed while they were read")
     return _finish(spark, rows, classes, sets, percent, id_col)
 
 

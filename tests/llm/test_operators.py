@@ -284,6 +284,27 @@ def test_ngram_join_of_many_near_copies(spark):
     assert got == dict(enumerate(_components(sets, 85)))
 
 
+@pytest.mark.parametrize("ids", ["null", "shared"])
+def test_ngram_join_of_rows_that_share_an_id(spark, ids):
+    """Texts are told apart where their ids are not."""
+    rng = random.Random(3)
+    texts = []
+    for _ in range(12):
+        words = _words(rng, 80).split(" ")
+        texts += [" ".join(words), " ".join(["new", *words[1:]])]
+    texts += [" ".join(["w", *texts[0].split(" ")[1:]])]
+    rows = [(None if ids == "null" else i % 2, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, *rows[:3], (100, texts[2]), (101, texts[5])], "doc_id long, text string").repartition(3)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = [exact_shingles(t, 4) for _, t in rows]
+    low = _components(sets, 85)
+    want = Counter()
+    for i, (d, _) in enumerate(rows):
+        known = [rows[j][0] for j in range(len(rows)) if low[j] == low[i] and rows[j][0] is not None]
+        want[d, len(sets[i]), min(known, default=None)] += 1
+    assert _bag(map(tuple, ngram_join.similar_groups(docs, 4, 85).collect())) == want
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(200):
