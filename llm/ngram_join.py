@@ -14,7 +14,9 @@ shingles, the first ``size - need + l`` of both hold at least l common ones. Tha
    of a group of copies, however large, by one link each.
 4. Rest. Pairs that share a prefix shingle but lie in different components are counted, over the prefixes that the sizes
    of the two call for; those with min(l of both) matches or more are verified. Pairs within a component cannot change it
-   and are never made.
+   and are not made here.
+5. Links (``linked_groups`` only). Linked sets are in one component, so the links of a set are counted against all sets of
+   its component, in products of block x block; a pair is never a row. Equal sets are counted by the size of their class.
 
 All verification is exact on whole sets (of 64-bit shingle hashes). Step 4 alone settles what the star leaves, so that no
 link between components is lost.
@@ -43,6 +45,9 @@ EXTRA = 16  # the most extra matches a set may ask for
 VERIFY = 0.001  # cost of verifying one shingle of a candidate, in postings read
 BITMAP = 1 << 23
 STARS = 1
+BLOCK_SETS, BLOCK_TOKENS = 256, 1 << 16  # of a block of a component, on average
+SPREAD_SETS, SPREAD = 32, 32  # smaller components have blocks of so many sets, up to so many blocks
+COLUMNS = 4096  # of a product at once
 
 
 def needed(size: np.ndarray, percent: int) -> np.ndarray:
@@ -166,8 +171,79 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b")
 
 
+def _block_links(tokens: list[np.ndarray], lows: np.ndarray, highs: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets at ``lows`` (rows) are similar to which at ``highs`` (columns)."""
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    _, column, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(tokens)), sizes)
+    twice = times[column] > 1
+    column, owner = (np.cumsum(times > 1) - 1)[column[twice]], owner[twice]
+    by = np.argsort(column, kind="stable")
+    column, owner = column[by], owner[by]
+    common = np.zeros((len(lows), len(highs)))
+    for first in range(0, int((times > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((len(tokens), int(column[b - 1]) - first + 1), np.float32)
+        part[owner[a:b], column[a:b] - first] = 1
+        common += part[lows] @ part[highs].T
+    return 100 * common >= percent * (sizes[lows][:, None] + sizes[highs][None, :] - common)
+
+
+def _count_links(percent: int):
+    """(cls, links): the rows that each set of a pair of blocks is linked to in the other block (or in the block itself)."""
+    def count(key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        own, classes, copies, tokens = zip(*rows)
+        own, copies, tokens = np.array(own), np.array(copies, np.int64), [np.asarray(t, np.int64) for t in tokens]
+        lows, highs = (np.flatnonzero(own == k) for k in key[1:])
+        links = np.zeros(len(rows), np.int64)
+        if len(lows) and len(highs):
+            similar = _block_links(tokens, lows, highs, percent)
+            if key[1] == key[2]:
+                np.fill_diagonal(similar, False)
+            else:
+                links[highs] = similar.T @ copies[lows]
+            links[lows] = similar @ copies[highs]
+        return pd.DataFrame({"cls": classes, "links": links})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = None, []
+        for batch in batches:
+            out = []
+            for component, low, high, *row in batch.itertuples(index=False, name=None):
+                if (component, low, high) != held:
+                    if rows:
+                        out.append(count(held, rows))
+                    held, rows = (component, low, high), []
+                rows.append(row)
+            if out:
+                yield pd.concat(out)
+        if rows:
+            yield count(held, rows)
+    return run
+
+
+def _links_of(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, links): the rows of other classes that each class of ``groups`` is linked to."""
+    members = durable(groups.select(F.col("node").alias("cls"), "component").join(classes.select("cls", "n", "copies"), "cls"), "members")
+    blocks = members.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).select("component", F.greatest(
+        F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS),
+        F.least(F.ceil(F.col("m") / SPREAD_SETS), F.lit(SPREAD).cast("long"))).alias("blocks"))
+    dealt = members.join(blocks, "component").join(sets, "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    pairs = dealt.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cls", "copies", "tokens")
+    key = ["component", "low", "high"]
+    counted = pairs.repartition(*key).sortWithinPartitions(*key).mapInPandas(lean(_count_links(percent)), "cls long, links long")
+    return counted.groupBy("cls").agg(F.sum("links").alias("links"))
+
+
 def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id), one row per row of ``docs``; ids are whole numbers."""
+    return linked_groups(docs, n, percent, id_col, text_col, False)
+
+
+def linked_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """(id, n_shingles, component_id, n_links), one row per row of ``docs``; ids are whole numbers. ``n_links``: how many other
+    rows of ``docs`` are similar to the row, equal ones too. Without ``links`` they are not counted."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
@@ -177,7 +253,7 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
         lean(_sieve_rows(n, percent)), "name string, key long, n long, cls long, check long, extra long, prefix array<long>"), "shingles")
     rows = base.select(F.when(F.col("name") != "", F.col("name").cast("long")).alias("id"), "key", "n", "cls", "check", "extra")
     full = rows.filter("n > 0")
-    classes = durable(full.groupBy("cls").agg(F.min("id").alias("low_id"), F.min("key").alias("key"), F.max("n").alias("n"),
+    classes = durable(full.groupBy("cls").agg(F.min("id").alias("low_id"), F.min("key").alias("key"), F.max("n").alias("n"), F.count("*").alias("copies"),
                                               F.max("extra").alias("extra"), F.min("check").alias("c1"), F.max("check").alias("c2")), "classes")
     if classes.filter("c1 != c2").limit(1).count():
         raise ValueError("two different sets have the same 64-bit hash; give the sets another seed")
@@ -200,10 +276,10 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
                    .groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
     if sets.count() != left.count():
         raise ValueError("two different rows have the same 64-bit hash, or the documents changed while they were read")
-    return _finish(spark, rows, classes, sets, percent, id_col)
+    return _finish(spark, rows, classes, sets, percent, id_col, links)
 
 
-def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, id_col: str) -> DataFrame:
+def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, id_col: str, count_links: bool) -> DataFrame:
     # 2. postings from rare to frequent
     counts = spark.sparkContext.broadcast(sketch(sets))
     chosen = sets.mapInPandas(lean(_postings(counts, percent)), "cls long, n long, extra long, typical double, prefix array<long>")
@@ -239,13 +315,17 @@ def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent
     rest = durable(_links(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
     groups = connected_components(links.unionByName(rest))
 
+    if count_links:  # 5. links
+        classes = classes.join(_links_of(groups, classes, sets, percent), "cls", "left").withColumn(
+            "n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    counted = ["n_links"] if count_links else []
     labelled = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "low_id", F.coalesce("component", "cls").alias("component"))
+        "cls", "low_id", F.coalesce("component", "cls").alias("component"), *counted)
     lowest = labelled.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    named = labelled.join(lowest, "component").select("cls", "component_id")
-    empty = rows.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return rows.filter("n > 0").join(named, "cls").select("id", "n", "component_id").unionByName(empty).select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    named = labelled.join(lowest, "component").select("cls", "component_id", *counted)
+    empty = rows.filter("n = 0").select("id", "n", F.col("id").alias("component_id"), *(F.lit(0).cast("long").alias(c) for c in counted))
+    return rows.filter("n > 0").join(named, "cls").select("id", "n", "component_id", *counted).unionByName(empty).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", *counted)
 
 
 def _near(percent: int) -> str:

@@ -33,7 +33,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), 4, 85)
+    return ngram_join.linked_groups(table(spark, sf_dir, "documents"), 4, 85)
 
 
 def op3_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

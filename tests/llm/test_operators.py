@@ -305,6 +305,34 @@ def test_ngram_join_of_rows_that_share_an_id(spark, ids):
     assert _bag(map(tuple, ngram_join.similar_groups(docs, 4, 85).collect())) == want
 
 
+def test_ngram_join_counts_links(spark):
+    """Links within a group too, of copies and near copies, over several blocks."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = [None, "", "one", "ONE", _words(rng, 50)]
+    for k in range(120):
+        words = list(base)
+        for _ in range(rng.randint(1, 3)):
+            words[rng.randrange(90)] = f"x{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    texts += texts[:20]
+    sets = [exact_shingles(t or "", 4) for t in texts]
+    near = lambda a, b: bool(a and b and 100 * len(a & b) >= 85 * len(a | b))
+    want = Counter((i if i % 9 else None, sum(near(a, b) for b in sets) - bool(a)) for i, a in enumerate(sets))
+    docs = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = ngram_join.linked_groups(docs, 4, 85).select("doc_id", "n_links").collect()
+    assert _bag(map(tuple, got)) == want
+    assert 1 < max(r.n_links for r in got) < 140
+
+
+def test_block_links(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 40, n)) for n in rng.integers(1, 60, 30)]
+    want = [[2 * len({*a} & {*b}) >= len({*a} | {*b}) for b in sets[12:]] for a in sets[:12]]
+    assert ngram_join._block_links(sets, np.arange(12), np.arange(12, 30), 50).tolist() == want
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(200):
