@@ -1,11 +1,13 @@
 """Quality rules: statistics of whole texts, hard limits on them, and an isolation forest over their ratios.
 
 One pass over the documents gives the statistics (hash sums of words and lines in arrays, nothing is cut off). An
-isolation forest is grown on a bounded sample of documents that pass the hard limits (``SAMPLE`` rows by hash of the id,
-``PSI`` per tree): trees split a random ratio at a random value, and documents that end on short paths are odd. The
-path length at which a document is dropped comes from labelled rows: the limit between clean and bad ones with the best
+isolation forest is grown on documents that pass the hard limits, each tree on its own ``PSI`` of all of them (the lowest
+hashes of id, statistics and tree): trees split a random ratio at a random value, and documents that end on short paths are odd. The
+oddness at which a document is dropped comes from a histogram (``BINS``) of all labelled rows: the limit between clean and bad ones with the best
 balance that still keeps ``KEEP`` of the clean ones. Without labels of both kinds nothing is dropped by the forest.
 
+Signs are all code points but letters, digits, white space and combining marks; capitals are those of all scripts.
+
 Defined cases: a null or empty text has no words and fails the limits; null ids and repeated rows are counted like any
 row; labels with null values are ignored, and a document with several labels takes the worst; an empty table gives an
 empty result; other columns are ignored.
@@ -13,7 +15,9 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,8 +28,8 @@ from llm.common import durable, lean, slices
 from llm.segments import code_points, segment_keys
 
 CHARS = 600_000
-SAMPLE, TREES, PSI = 8192, 200, 128  # documents for the forest, trees, documents per tree
-LABELLED = 20_000  # labelled rows for the threshold
+TREES, PSI = 200, 128  # trees, documents per tree
+BINS = 1 << 16  # of oddness
 KEEP = 0.995
 SYMBOLS = "#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -62,8 +66,7 @@ def _statistics(texts: list[str]) -> dict[str, np.ndarray]:
     first[starts[starts < size]] = True
     out["word_chars"] = _per_text(text_of[~space], n)
     out["n_symbols"] = _per_text(text_of[np.isin(flat, [ord(c) for c in SYMBOLS])], n)
-    low = np.minimum(flat, 0x3FF)
-    out["n_upper"], out["n_signs"] = (_per_text(text_of[t[low]], n) for t in _SIGNS)
+    out["n_upper"], out["n_signs"] = (_per_text(text_of[t[flat]], n) for t in _signs())
 
     cut = first.copy()
     cut[1:] |= space[1:] != space[:-1]
@@ -98,8 +101,12 @@ def _statistics(texts: list[str]) -> dict[str, np.ndarray]:
     return out
 
 
-_SIGNS = (np.array([chr(c).isupper() for c in range(0x400)]),
-          np.array([not (chr(c).isalnum() or chr(c).isspace() or c == 0x3FF) for c in range(0x400)]))
+@cache
+def _signs() -> tuple[np.ndarray, np.ndarray]:
+    """Whether each code point is a capital, and whether it is a sign."""
+    every = [chr(c) for c in range(0x110000)]
+    return (np.array([c.isupper() for c in every]),
+            np.array([not (c.isalnum() or c.isspace() or unicodedata.category(c)[0] == "M") for c in every]))
 
 
 def ratios(s: pd.DataFrame) -> np.ndarray:
@@ -113,12 +120,16 @@ def ratios(s: pd.DataFrame) -> np.ndarray:
 class IsolationForest:
     """Trees as flat arrays: feature (-1 for a leaf), split, left child (the right one follows), path length at a leaf."""
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, psi: int = PSI, seed: int = 1) -> None:
+    def __init__(self, rows: np.ndarray | list[np.ndarray], trees: int = TREES, psi: int = PSI, seed: int = 1) -> None:
+        """``rows``: a table that each tree draws from, or a list of the rows of each tree."""
         random = np.random.default_rng(seed)
-        psi = min(psi, len(rows))
+        if isinstance(rows, np.ndarray):
+            psi = min(psi, len(rows))
+            rows = [rows[random.choice(len(rows), psi, replace=False)] for _ in range(trees)]
+        psi = max(map(len, rows))
         limit = int(np.ceil(np.log2(max(psi, 2)))) + 4
         self.norm = max(_average_path(psi), 1e-9)
-        self.trees = [self._grow(rows[random.choice(len(rows), psi, replace=False)], limit, random) for _ in range(trees)]
+        self.trees = [self._grow(part, limit, random) for part in rows]
 
     @staticmethod
     def _grow(rows: np.ndarray, limit: int, random: np.random.Generator) -> tuple[np.ndarray, ...]:
@@ -174,14 +185,43 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def threshold(clean: np.ndarray, bad: np.ndarray, keep: float = KEEP) -> float:
-    """The largest oddness that is kept: best balance of kept clean and dropped bad rows, with ``keep`` of the clean kept."""
+def tree_samples(passed: DataFrame, trees: int = TREES, psi: int = PSI) -> list[np.ndarray]:
+    """For each tree its ``psi`` rows of all of ``passed``, as ratios."""
+    total = passed.count()
+    if not total:
+        return []
+    # so many rows of a tree are below the cut that fewer than psi never happen; the driver gets about as many a tree
+    share = min(1.0, 4 * psi / total)
+    keys = F.array(*(F.xxhash64(F.lit(t), F.col("id").cast("string"), *BASE, *MORE) for t in range(trees)))
+    rows = passed.select(*BASE, *MORE, F.posexplode(keys).alias("tree", "key"))
+    if share < 1:
+        rows = rows.filter(F.col("key") < int(share * 2.0**64) - 2**63)
+    # equal rows have equal keys; they travel as one
+    rows = rows.groupBy("tree", "key", *BASE, *MORE).agg(F.least(F.count("*"), F.lit(psi)).alias("times"))
+    rows = rows.toPandas().sort_values(["tree", "key", *BASE, *MORE])
+    samples = []
+    for _, part in rows.groupby("tree"):
+        samples.append(ratios(part.loc[part.index.repeat(part["times"])][:psi]))
+    return samples
+
+
+def threshold(clean: np.ndarray, bad: np.ndarray, keep: float = KEEP, n_clean: np.ndarray | None = None,
+              n_bad: np.ndarray | None = None) -> float:
+    """The largest oddness that is kept: best balance of kept clean and dropped bad rows, with ``keep`` of the clean kept.
+    ``n_clean``, ``n_bad``: how many rows each value stands for."""
     if not len(clean) or not len(bad):
         return 2.0
-    floor = np.quantile(clean, keep, method="higher")
+
+    def up_to(values: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        by = np.argsort(values)
+        return values[by], np.append(0, np.cumsum(np.ones(len(values), np.int64) if times is None else times[by]))
+
+    (clean, clean_rows), (bad, bad_rows) = up_to(clean, n_clean), up_to(bad, n_bad)
+    floor = clean[np.searchsorted(clean_rows, np.ceil(keep * (clean_rows[-1] - 1)), "right") - 1]
     places = np.unique(np.append(bad[bad > floor], [floor, 2.0]))
     limits = np.append(floor, (places[1:] + places[:-1]) / 2)
-    gain = np.searchsorted(np.sort(clean), limits, "right") / len(clean) - np.searchsorted(np.sort(bad), limits, "right") / len(bad)
+    gain = (clean_rows[np.searchsorted(clean, limits, "right")] / clean_rows[-1]
+            - bad_rows[np.searchsorted(bad, limits, "right")] / bad_rows[-1])
     return float(limits[np.flatnonzero(gain >= gain.max() - 1e-12)[0]])
 
 
@@ -190,19 +230,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_
     """(id, base and further statistics, base_failed, oddness, limit, kept), one row per row of ``docs``."""
     stats = durable(document_statistics(docs, id_col, text_col), "rules")
     passed = stats.filter(~F.col("base_failed"))
-    order = [F.xxhash64(F.col("id").cast("string")), *BASE]
-    # bounded samples: SAMPLE and 2 x LABELLED rows of a few numbers come to the driver
-    rows = ratios(passed.orderBy(*order).limit(SAMPLE).select(*BASE, *MORE).toPandas())
+    # TREES x PSI rows (and as many more as the cut lets through) and 2 x BINS counts come to the driver
+    samples = tree_samples(passed)
     forest, limit = None, 2.0
-    if len(rows) > 1:
-        forest = IsolationForest(rows)
-        if labels is not None:
-            marks = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
-            marks = marks.groupBy("id").agg(F.min("label").alias("label"))
-            known = passed.join(marks, "id")
-            clean, bad = (forest.oddness(ratios(known.filter(F.col("label") == v).orderBy(*order).limit(LABELLED)
-                                                .select(*BASE, *MORE).toPandas())) for v in (1, 0))
-            limit = threshold(clean, bad)
+    if samples and len(samples[0]) > 1:
+        forest = IsolationForest(samples)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -211,6 +243,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_
 
     scored = stats.withColumn("id", F.col("id").cast("string")).mapInPandas(
         lean(run), f"id string, {', '.join(f'{c} long' for c in BASE + MORE)}, base_failed boolean, oddness double")
-    return scored.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *BASE, *MORE, "base_failed",
+    scored = scored.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
+    if forest is not None and labels is not None:
+        scored = durable(scored, "scored")
+        marks = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
+        marks = marks.groupBy("id").agg(F.min("label").alias("label")).filter("label in (0, 1)")
+        bins = scored.filter(~F.col("base_failed")).join(marks, "id").groupBy(
+            "label", F.ceil(F.col("oddness") * BINS).alias("bin")).agg(F.count("*").alias("times")).toPandas()
+        clean, bad = (bins[bins["label"] == v] for v in (1, 0))
+        limit = threshold(clean["bin"].to_numpy() / BINS, bad["bin"].to_numpy() / BINS, KEEP, clean["times"].to_numpy(), bad["times"].to_numpy())
+        limit = float(np.floor(limit * BINS) / BINS)  # the upper end of a bin
+    return scored.select(F.col("id").alias(id_col), *BASE, *MORE, "base_failed",
                          (~F.col("base_failed") & (F.col("oddness") <= limit)).alias("kept"),
                          "oddness", F.lit(limit).alias("oddness_limit"))

@@ -396,6 +396,30 @@ def test_forest_finds_odd_rows():
     assert (forest.oddness(usual) <= limit).mean() >= 0.995 and (forest.oddness(odd) > limit).mean() > 0.95
 
 
+def test_signs_of_all_scripts():
+    got = quality_rules.statistics(["— • █ \U0001F600 Привет, Ժ किताब"])
+    assert (got["n_signs"][0], got["n_upper"][0]) == (5, 2)
+
+
+def test_forest_draws_from_all_rows(spark):
+    """Not from a pool of 8192, whatever the size."""
+    same = {"n_words": F.lit(1), "word_chars": F.col("id")}
+    rows = spark.range(30_000).select("id", *(same.get(c, F.lit(0)).cast("long").alias(c) for c in quality_rules.BASE + quality_rules.MORE))
+    samples = quality_rules.tree_samples(rows)
+    assert [len(x) for x in samples] == [quality_rules.PSI] * quality_rules.TREES
+    assert len({x for s in samples for x in s[:, 0].tolist()}) > 12_000
+    few = quality_rules.tree_samples(rows.limit(60).unionByName(rows.limit(60)), 5)
+    assert [len(x) for x in few] == [120] * 5
+
+
+def test_threshold_of_counts():
+    rng = np.random.default_rng(4)
+    clean, bad = np.round(rng.normal(0.4, 0.05, 30_000), 2), np.round(rng.normal(0.6, 0.05, 9_000), 2)
+    (a, n_a), (b, n_b) = np.unique(clean, return_counts=True), np.unique(bad, return_counts=True)
+    limit = quality_rules.threshold(a, b, 0.995, n_a, n_b)
+    assert limit == quality_rules.threshold(clean, bad, 0.995) >= np.quantile(clean, 0.995, method="higher")
+
+
 def _kneser_ney(texts, order):
     """A literal model of one language: p(w | h) by recursion."""
     def grams(t, k):
