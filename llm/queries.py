@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact_dedup, kneser_ney, mixing, ngram_join, packing, quality_rules, suffix_dedup, token_counts, token_files
+from llm import (
+    chat, exact_dedup, kneser_ney, lexical_search, mixing, ngram_join, packing, quality_rules, source_audit, suffix_dedup, token_counts,
+    token_files, word_model,
+)
 from llm.common import durable, stage_folder
 
 END_ID = 2
@@ -73,9 +76,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_word_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    return word_model.score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_ngram_jaccard_join, op3_kneser_ney_quality, op4_token_counts, op5_token_files, op6_source_mix, op7_chat_format,
-                            op8_exact_dedup, op9_suffix_dedup, op10_quality_rules)}
+                            op8_exact_dedup, op9_suffix_dedup, op10_quality_rules, op11_lexical_search, op12_word_model, op13_source_audit)}
 
 ORACLE: dict[str, str] = {
     "op6_source_mix": r"""
@@ -135,4 +151,49 @@ ORACLE: dict[str, str] = {
                 first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id
             FROM plain)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM kept""",
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        docs AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        whole AS (SELECT count(*) AS total, sum(n)::BIGINT AS length FROM docs),
+        lengths AS (SELECT doc_id, 10 + (90 * n * total) // length AS m FROM docs, whole),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        tfs AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM tfs, whole GROUP BY term, total),
+        scores AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_source_audit": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+        words AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows),
+        kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+        counts AS (SELECT lang, source, term, count(*) AS c FROM words GROUP BY ALL),
+        langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM rows),
+        cells AS (
+            SELECT g.lang, g.source, k.term, k.total, coalesce(c, 0) AS c
+            FROM groups g JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)),
+        ps AS (
+            SELECT lang, source, term, c,
+                1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+                1 + (1000000000::HUGEINT * (total + 5)) // (n + 5 * v) AS q
+            FROM cells JOIN langs USING (lang)),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                coalesce((SELECT sum(abs(x.p - y.p)) FROM ps x JOIN ps y USING (lang, term)
+                    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM ps WHERE c > 0 AND p > q)
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 50""",
 }
