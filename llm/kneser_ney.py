@@ -16,7 +16,8 @@ What is moved grows with the n-grams the corpus has.
 A document's score is its mean negative log probability per byte, drawn towards its language's mean as if ``PRIOR``
 bytes of that had been seen too (short documents say little). The limit of a language comes from quantiles of trusted
 documents that were held out of training (every fifth, by a hash of the id): the median plus ``SPREAD`` times the
-distance from there to the upper quantile.
+distance from there to the upper quantile. A language of which no trusted document was held out takes the distance of its
+mean to the limit from the held-out documents of all languages, each seen from its language's mean.
 
 Defined cases: a null or empty text scores null and is rejected; a null language is a language of its own; documents of
 languages without trusted text are kept, as nothing can be said; null ids and repeated rows are scored like others, and
@@ -211,8 +212,10 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
     known = scored.filter("mark = 2 AND n_bytes > 0")
     quantiles = F.percentile_approx("score", [0.5, QUANTILE], 10_000)
     limits = known.groupBy("lang").agg(quantiles.alias("q")).select(
-        "lang", (F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0])).alias("score_limit"))
-    result = scored.join(limits, "lang", "left")
+        "lang", (F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0])).alias("own_limit"))
+    pooled = known.agg(F.percentile_approx(F.col("score") - F.col("mean"), [0.5, QUANTILE], 10_000)).first()[0]
+    above = F.lit(None).cast("double") if pooled is None else F.col("mean") + pooled[0] + SPREAD * (pooled[1] - pooled[0])
+    result = scored.join(limits, "lang", "left").withColumn("score_limit", F.coalesce("own_limit", above))
     return result.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.when(F.col("lang") != "", F.col("lang")).alias("lang"), "n_bytes",
         F.when(F.col("n_bytes") > 0, F.exp(F.col("loss") / F.col("n_bytes"))).alias("perplexity"), "score", "score_limit",
