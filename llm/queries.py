@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import (
-    chat, exact_dedup, kneser_ney, lexical_search, mixing, ngram_join, packing, quality_rules, source_audit, suffix_dedup, token_counts,
-    token_files, word_model,
+    chat, exact_dedup, kneser_ney, lexical_search, mixing, ngram_join, packing, passages, quality_rules, source_audit, suffix_dedup,
+    token_counts, token_files, word_model,
 )
 from llm.common import durable, stage_folder
 
@@ -69,7 +69,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+    docs = table(spark, sf_dir, "documents")
+    spans = suffix_dedup.repeated_spans(docs).drop("spans")
+    shared = passages.sharing(docs).withColumnRenamed("doc_id", "_id")
+    return spans.join(shared, spans["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,7 +250,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
     found = long_texts.select("k1", "k2", "text").mapInPandas(
         lean(_anchor_rows(length)), "gram long, context long, k1 long, k2 long, width int, places array<int>")
-    found = found.repartition("gram")
+    found = durable(found, "found")  # read twice, found once
     several = found.groupBy("gram").agg(
         *(f(c).alias(f"{f.__name__}_{c}") for c in ("k1", "k2", "context") for f in (F.min, F.max)), F.max(F.size("places")).alias("times"))
     several = several.filter("min_k1 != max_k1 OR min_k2 != max_k2 OR min_context != max_context OR times > 1").select("gram")

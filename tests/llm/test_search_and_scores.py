@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import lexical_search, source_audit, word_model
+from llm import lexical_search, passages, source_audit, word_model
 
 DOCS = "doc_id long, text string, lang string, source string, term string, score double, chunk string"
 
@@ -224,3 +224,20 @@ def test_runs_are_merged_in_order():
         own = Counter("ab"[i % 2] for i in range(90) for w in words(i) if w == term)
         assert got.pop(term) == (sum(own.values()), dict(own))
     assert not got
+
+
+# ---------------------------------------------------------------- passages
+
+def test_shared_passages(spark):
+    """Every passage of 51 words that two documents share is found, wherever it stands; nothing below 32 words counts."""
+    rng = np.random.default_rng(9)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    long, short = text(51), text(31)
+    rows = [(i, f"{text(int(rng.integers(0, 300)))} {long.upper() if i % 2 else long}\n{text(int(rng.integers(0, 300)))}") for i in range(8)]
+    rows += [(100 + i, f"{text(60)} {short} {text(60)}") for i in range(4)]
+    alone = text(200)
+    rows += [(200, None), (201, ""), (202, long[:100]), (203, alone), (203, alone), (204, text(40)), (None, text(80)), (None, f"{text(80)} {long}")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, name string").repartition(6)
+    got = {r.doc_id: r.shares_passage for r in passages.sharing(docs).collect()}
+    assert got == {i: i is None or i < 8 for i, _ in rows}
+    assert passages.sharing(docs.filter("false")).count() == 0
