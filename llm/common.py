@@ -34,21 +34,26 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Gives this process's free memory back to the system."""
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim_heap = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim_heap is not None:
+        trim_heap(0)
+
+
 def lean(run: Callable) -> Callable:
-    """A function over batches that gives its worker's free memory back to the system when a task ends: workers live on
-    between tasks, and several share one executor."""
+    """A function over batches that gives its worker's free memory back when a task ends: workers live on between tasks, and
+    several share one executor."""
     @wraps(run)
     def wrapped(batches: Iterator) -> Iterator:
-        import gc
-
-        import pyarrow as pa
-
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        trim()
 
     return wrapped
 

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import durable, lean
+from llm.common import durable, lean, trim
 from llm.components import connected_components
 from llm.shingles import mix, shingle_sets
 
@@ -46,7 +46,7 @@ VERIFY = 0.001  # cost of verifying one shingle of a candidate, in postings read
 BITMAP = 1 << 23
 STARS = 1
 BLOCK_SETS, BLOCK_TOKENS = 256, 1 << 16  # of a block of a component, on average
-SPREAD_SETS, SPREAD = 32, 32  # smaller components have blocks of so many sets, up to so many blocks
+SPREAD_SETS, SPREAD = 128, 8  # smaller components have blocks of so many sets, up to so many blocks
 COLUMNS = 4096  # of a product at once
 
 
@@ -139,6 +139,26 @@ def _postings(shared, percent: int):
     return run
 
 
+def _bitmap_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    bits = np.zeros(BITMAP, bool)
+    for batch in batches:
+        bits[batch["place"].to_numpy()] = True
+    if bits.any():
+        words = np.packbits(bits, bitorder="little").reshape(16, -1)
+        yield pd.DataFrame({"chunk": range(16), "bits": [w.tobytes() for w in words]})
+
+
+def _join_bits(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"chunk": [key[0]], "bits": [np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in rows["bits"]]).tobytes()]})
+
+
+def bitmap_of(keys: DataFrame) -> np.ndarray:
+    """The places of ``keys`` (place) in BITMAP bits (1 MB), whatever the input."""
+    parts = keys.mapInPandas(lean(_bitmap_part), "chunk int, bits binary").groupBy("chunk").applyInPandas(_join_bits, "chunk int, bits binary")
+    rows = sorted(parts.collect(), key=lambda r: r["chunk"])
+    return np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), np.int64) if rows else np.zeros(BITMAP // 64, np.int64)
+
+
 def _wanted(bitmap: np.ndarray):
     """Rows whose key may be wanted, repeated rows of a task once; an exact join follows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,11 +286,7 @@ def linked_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id",
 
     # sets of what is left, from one row of each class
     place = F.pmod(F.col("key"), F.lit(BITMAP))
-    words = left.select(place.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).collect()
-    bitmap = np.zeros(BITMAP // 64, np.int64)
-    for r in words:  # at most BITMAP / 64 rows
-        bitmap[r["word"]] = r["bits"]
+    bitmap = bitmap_of(left.select(place.alias("place")))
     some = named.select("text", "key", place.alias("place")).mapInPandas(lean(_wanted(bitmap)), "text string, key long, place long")
     sets = durable(some.join(left, "key").select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>")
                    .groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
@@ -282,6 +298,7 @@ def linked_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id",
 def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, id_col: str, count_links: bool) -> DataFrame:
     # 2. postings from rare to frequent
     counts = spark.sparkContext.broadcast(sketch(sets))
+    trim()
     chosen = sets.mapInPandas(lean(_postings(counts, percent)), "cls long, n long, extra long, typical double, prefix array<long>")
     postings = durable(chosen.select("cls", "n", "extra", "typical", F.posexplode("prefix").alias("pos", "token")), "postings")
     # 3. stars around the most typical set of each posting list, first over all, then between components
