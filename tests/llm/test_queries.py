@@ -66,3 +66,22 @@ def test_pipeline(spark, tmp_path):
             used = out.groupBy("sequence_id").agg({"length": "sum"}).collect()
             assert max(r[1] for r in used) <= 1024
         docs = out
+
+
+def test_pipeline_decides_rows_not_ids(spark, tmp_path):
+    """Rows with null or shared ids: each is judged by its own text, and near copies among them leave one."""
+    docs = table(spark, SF, "documents")
+    clean = {r.doc_id for r in table(spark, SF, "labels").filter("quality = 1 AND toxic = 0").collect()}
+    good = [r for r in docs.collect() if r.doc_id in clean and r.lang == "en" and r.text and len(r.text) > 800][:12]
+    rows = [r.asDict() | {"doc_id": None if i % 2 else 5} for i, r in enumerate(good)]
+    rows += [rows[0] | {"text": "qzx!!! " * 400}, rows[1] | {"text": "jjj### vvv$$$ " * 300}, rows[2] | {"text": rows[2]["text"] + " tail"}]
+    more = spark.createDataFrame(rows, docs.schema).unionByName(docs)
+    more.write.parquet(f"{tmp_path}/docs")
+    more = spark.read.parquet(f"{tmp_path}/docs")
+    kept = {r.text for r in corpus_pipeline.quality_classifier(spark, more, SF).collect()}
+    assert len({r.text for r in good} - kept) <= 2 and not {rows[-3]["text"], rows[-2]["text"]} & kept
+    more = spark.createDataFrame(rows, docs.schema)
+    near = [r.text for r in corpus_pipeline.near_copies(spark, more, SF).collect()]
+    assert sum(t in near for t in (rows[2]["text"], rows[-1]["text"])) == 1
+    mixed = corpus_pipeline.source_mix(spark, more, SF)
+    assert mixed.columns == more.columns and mixed.count() > 0
