@@ -74,7 +74,7 @@ def test_pipeline_decides_rows_not_ids(spark, tmp_path):
     clean = {r.doc_id for r in table(spark, SF, "labels").filter("quality = 1 AND toxic = 0").collect()}
     good = [r for r in docs.collect() if r.doc_id in clean and r.lang == "en" and r.text and len(r.text) > 800][:12]
     rows = [r.asDict() | {"doc_id": None if i % 2 else 5} for i, r in enumerate(good)]
-    rows += [rows[0] | {"text": "qzx!!! " * 400}, rows[1] | {"text": "jjj### vvv$$$ " * 300}, rows[2] | {"text": rows[2]["text"] + " tail"}]
+    rows += [rows[1] | {"text": "qzx!!! " * 400}, rows[1] | {"text": "jjj### vvv$$$ " * 300}, rows[2] | {"text": rows[2]["text"] + " tail"}]
     more = spark.createDataFrame(rows, docs.schema).unionByName(docs)
     more.write.parquet(f"{tmp_path}/docs")
     more = spark.read.parquet(f"{tmp_path}/docs")
