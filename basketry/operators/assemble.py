@@ -62,6 +62,13 @@ def embedding_similarity(
     return rows.withColumn(out, dot("_u", "_v")).drop("_u", "_v")
 
 
+def attach_vectors(rows: DataFrame, vectors: DataFrame, width: int, out: str, key: str = "article_id", spread: str = "customer_id") -> DataFrame:
+    """Adds the vector of ``key`` (id, vec); a key without one gets the unit vector of equal parts."""
+    uniform = F.array_repeat(F.lit(width ** -0.5), width)
+    rows = salted_lookup(rows, vectors.select(F.col("id").alias(key), F.col("vec").alias(out)), key, spread)
+    return rows.withColumn(out, F.coalesce(out, uniform))
+
+
 def fit_category_codes(domain: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
     """Codes over the full domain of a dimension; unseen values get a code of their own."""
     text = domain.select(*[F.col(c).cast("string").alias(c) for c in columns])

@@ -8,7 +8,7 @@ from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # full runs over both strategies take minutes; the comparison tool covers them
-SLOW = {"w02_second_strategy_week", "w03_training_rows", "w04_rank_blend_submit"}
+SLOW = {"w02_second_strategy_week", "w03_training_rows", "w04_rank_blend_submit", "w05_two_strategy_run"}
 
 
 @pytest.fixture(scope="module")

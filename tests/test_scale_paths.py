@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -202,7 +203,7 @@ def clustered(spark, groups=3, users=20, items=12, seed=5):
     return spark.createDataFrame(rows, "t_dat date, customer_id int, article_id int")
 
 
-@pytest.mark.parametrize("rule", ["als", "bpr", "bpr_blocks"])
+@pytest.mark.parametrize("rule", ["als", "bpr", "bpr_blocks", "bpr_passes"])
 def test_factorisation_finds_clusters(spark, rule):
     trans = clustered(spark)
     customers = spark.range(61).select(F.col("id").cast("int").alias("customer_id"))
@@ -210,6 +211,7 @@ def test_factorisation_finds_clusters(spark, rule):
         "als": lambda: r.ALS(customers, trans, n=5, factors=6, iter_num=8),
         "bpr": lambda: r.BPR(customers, trans, n=5, factors=6, iter_num=60, blocks=1, rate=0.2),
         "bpr_blocks": lambda: r.BPR(customers, trans, n=5, factors=6, iter_num=40, blocks=2, rate=0.2),
+        "bpr_passes": lambda: r.BPR(customers, trans, n=5, factors=6, iter_num=80, blocks=2, rate=0.2, passes=10),
     }[rule]
     rows = make().retrieve().collect()
     assert len(rows) == 61 * 5 and all(math.isfinite(x.score) for x in rows)
@@ -226,6 +228,49 @@ def test_bpr_repeats(spark):
     assert runs[0] == runs[1]
 
 
+@pytest.mark.parametrize("rule", ["als", "bpr"])
+def test_group_factorisation(spark, rule):
+    """Groups are fitted side by side and apart: a customer gets items of the own group's customers first."""
+    trans = clustered(spark)
+    users = spark.range(60).select(F.col("id").cast("int").alias("customer_id"), F.concat(F.lit("g"), F.col("id") % 3).alias("grp"))
+    make = {"als": r.UserGroupALS, "bpr": r.UserGroupBPR}[rule]
+    rows = make(users, users.select("customer_id"), trans, "grp", n=4, factors=4, iter_num=6).retrieve().collect()
+    assert Counter(x.customer_id for x in rows) == {c: 4 for c in range(60)}
+    if rule == "als":  # its pools are the groups' own
+        assert all(x.article_id % 3 == x.customer_id % 3 for x in rows)
+
+
+def test_attach_vectors(spark):
+    from basketry.operators.assemble import attach_vectors
+
+    rows = spark.createDataFrame([(1, 10), (2, 10), (3, 11), (4, None)], "customer_id int, article_id int")
+    vectors = spark.createDataFrame([(10, [1.0, 2.0, 3.0, 4.0])], "id int, vec array<double>")
+    got = {x.customer_id: x.v for x in attach_vectors(rows, vectors, 4, "v").collect()}
+    assert got == {1: [1.0, 2.0, 3.0, 4.0], 2: [1.0, 2.0, 3.0, 4.0], 3: [0.5] * 4, 4: [0.5] * 4}
+
+
+@pytest.mark.skipif(not os.environ.get("RUN_SLOW"), reason="takes minutes; set RUN_SLOW=1")
+def test_full_run(spark):
+    """Rule scores reach the models, lists come from both strategies, and items not bought before are in them."""
+    from basketry.plans import full_run, weekly
+    from workload.models import event_dataset
+    from workload.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    data = event_dataset(t)
+    small = full_run.Settings(rounds=1, depth=2, trend=0.0, parallel=8, second={
+        "n": 10, "factors": (2, 2), "iterations": (1, 1), "top_k": 3, "limit": 50})
+    made = full_run.run(data, t.anchor, (2,), settings=small)
+    first, second = (set(weekly.model_features(x)) for x in made.rows)
+    assert {"OrderHistory_1", "TimeHistory_1"} <= first and {"ALS_1", "BPR_1", "ItemCF_1", "score"} <= second
+    test = made.test.collect()
+    lists = Counter(x.customer_id for x in test)
+    assert set(lists) == {x.customer_id for x in data.user.select("customer_id").collect()} and max(lists.values()) <= 12
+    bought = {(x.customer_id, x.article_id) for x in data.inter.collect()}
+    assert any((x.customer_id, x.article_id) not in bought for x in test)
+    assert weekly.evaluate(data.inter, made.valid, t.anchor).first()["map"] > 0
+
+
 def test_list_ranker_learns(spark):
     from basketry.operators.ranking import ListwiseRanker
 

@@ -301,15 +301,15 @@ def r04(t):
 @query("r05_user_group_als")
 def r05(t):
     return rounded(r.UserGroupALS(
-        t.segments, customers(t), t.ev, "segment", days=14, n=12, factors=8, iter_num=3).retrieve())
+        t.segments, customers(t), t.ev, "segment", days=14, n=12, factors=64, iter_num=15).retrieve())
 
 
 @query("r06_bpr")
 def r06(t):
-    return rounded(r.BPR(customers(t), t.ev, days=14, n=12, factors=16, iter_num=6, blocks=2).retrieve())
+    return rounded(r.BPR(customers(t), t.ev, days=14, n=12, factors=64, iter_num=15, passes=5).retrieve())
 
 
 @query("r07_user_group_bpr")
 def r07(t):
     return rounded(r.UserGroupBPR(
-        t.segments, customers(t), t.ev, "segment", days=14, n=12, factors=8, iter_num=5, blocks=1).retrieve())
+        t.segments, customers(t), t.ev, "segment", days=14, n=12, factors=64, iter_num=15, passes=5).retrieve())
