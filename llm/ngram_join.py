@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,6 +173,23 @@ def _wanted(bitmap: np.ndarray):
     return run
 
 
+def _only(bitmap: np.ndarray):
+    """The rows whose place is in the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            yield batch.filter(pa.array((bitmap[at >> 6] >> (at & 63)) & 1 == 1))
+    return run
+
+
+def _sets_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``sets`` without most of those that ``classes`` (cls) does not name, so that a join shuffles few whole sets. The bitmap
+    is of fixed size: from some ten million classes on it holds back fewer, and the join does the rest."""
+    place = F.pmod(F.col("cls"), F.lit(BITMAP)).alias("place")
+    bitmap = bitmap_of(classes.select(place))
+    return sets.select("cls", "tokens", place).mapInArrow(lean(_only(bitmap)), "cls long, tokens array<long>, place long").drop("place")
+
+
 def _sets(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,7 +201,8 @@ def _sets(n: int):
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar. The set of ``a`` travels; ``b`` may be a hub."""
+    """The pairs (a, b), a stored table, whose whole sets are similar. The set of ``a`` travels; ``b`` may be a hub."""
+    sets = _sets_of(sets, pairs.select(F.explode(F.array("a", "b")).alias("cls")))
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("left")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("right")), "b")
     common = F.size(F.array_intersect("left", "right"))
@@ -248,7 +267,7 @@ def _links_of(groups: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     blocks = members.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).select("component", F.greatest(
         F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS),
         F.least(F.ceil(F.col("m") / SPREAD_SETS), F.lit(SPREAD).cast("long"))).alias("blocks"))
-    dealt = members.join(blocks, "component").join(sets, "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    dealt = members.join(blocks, "component").join(_sets_of(sets, members), "cls").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     pairs = dealt.select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cls", "copies", "tokens")
     key = ["component", "low", "high"]
@@ -288,8 +307,9 @@ def linked_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id",
     place = F.pmod(F.col("key"), F.lit(BITMAP))
     bitmap = bitmap_of(left.select(place.alias("place")))
     some = named.select("text", "key", place.alias("place")).mapInPandas(lean(_wanted(bitmap)), "text string, key long, place long")
-    sets = durable(some.join(left, "key").select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>")
-                   .groupBy("cls").agg(F.first("tokens").alias("tokens")), "sets")
+    # repeated rows go before texts become sets, which are larger
+    once = some.join(left, "key").select("cls", "key", "text").dropDuplicates(["key", "text"])
+    sets = durable(once.select("cls", "text").mapInPandas(lean(_sets(n)), "cls long, tokens array<long>"), "sets")
     if sets.count() != left.count():
         raise ValueError("two different rows have the same 64-bit hash, or the documents changed while they were read")
     return _finish(spark, rows, classes, sets, percent, id_col, links)
@@ -329,7 +349,8 @@ def _finish(spark, rows: DataFrame, classes: DataFrame, sets: DataFrame, percent
     pairs = open_.alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token AND x.component < y.component AND {_near(percent)}")).select(
         F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.least("x.extra", "y.extra").alias("extra"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("common"), F.first("extra").alias("extra")).filter("common >= extra").select("a", "b")
-    rest = durable(_links(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
+    open_pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = durable(_links(open_pairs, sets, percent), "links")
     groups = connected_components(links.unionByName(rest))
 
     if count_links:  # 5. links
