@@ -43,6 +43,7 @@ HELD_OUT = 5
 SLICE = 1_000_000  # bytes worked on at once
 PAYLOAD = 8_000_000  # bytes of text in one compressed row
 BROADCAST_ROWS = 1_000_000  # labels of up to so many documents are copied to all tasks, others are joined
+BROADCAST_LANGUAGES = 100_000  # tables of up to so many languages are copied, too
 
 
 def gram_keys(texts: list[bytes], order: int) -> np.ndarray:
@@ -88,6 +89,13 @@ def _gram_rows(order: int):
     return run
 
 
+def _by_language(table: DataFrame) -> DataFrame:
+    """``table``, a row a language, stored; copied to all tasks where it is small, so that no n-gram or document is dealt out by
+    its language alone."""
+    table = durable(table, "languages")
+    return F.broadcast(table) if table.count() <= BROADCAST_LANGUAGES else table
+
+
 def _discount(c: Column) -> Column:
     return F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))
 
@@ -104,7 +112,7 @@ def model_tables(counts: DataFrame, order: int) -> list[tuple[DataFrame, DataFra
         discounts = counts.groupBy("lang").agg(*few).select("lang", *(
             F.least(F.greatest(F.coalesce(F.when(F.col(f"n{i}") > 0, i - (i + 1) * ratio * F.col(f"n{i + 1}") / F.col(f"n{i}")), F.lit(0.5 * i)),
                                F.lit(0.05)), F.lit(i - 0.05)).alias(f"d{i}") for i in (1, 2, 3)))
-        known = counts.join(discounts, "lang").withColumn("d", _discount(F.col("c")))
+        known = counts.join(_by_language(discounts), "lang").withColumn("d", _discount(F.col("c")))
         context = F.shiftright("gram", 8).alias("context")
         contexts = durable(known.groupBy("lang", context).agg(F.sum("c").alias("total"), F.sum("d").alias("d")), "contexts")
         seen = known.select("lang", "gram", context, (F.col("c") - F.col("d")).alias("rest")).join(contexts.drop("d"), ["lang", "context"])
@@ -207,7 +215,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
     scored = durable(scored, "scores")
 
     means = scored.filter("mark > 0 AND n_bytes > 0").groupBy("lang").agg((F.sum("loss") / F.sum("n_bytes")).alias("mean"))
-    scored = scored.join(means, "lang", "left").withColumn("score", F.when(
+    scored = scored.join(_by_language(means), "lang", "left").withColumn("score", F.when(
         F.col("n_bytes") > 0, (F.col("loss") + PRIOR * F.col("mean")) / (F.col("n_bytes") + PRIOR)))
     known = scored.filter("mark = 2 AND n_bytes > 0")
     quantiles = F.percentile_approx("score", [0.5, QUANTILE], 10_000)
@@ -215,7 +223,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
         "lang", (F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0])).alias("own_limit"))
     pooled = known.agg(F.percentile_approx(F.col("score") - F.col("mean"), [0.5, QUANTILE], 10_000)).first()[0]
     above = F.lit(None).cast("double") if pooled is None else F.col("mean") + pooled[0] + SPREAD * (pooled[1] - pooled[0])
-    result = scored.join(limits, "lang", "left").withColumn("score_limit", F.coalesce("own_limit", above))
+    result = scored.join(_by_language(limits), "lang", "left").withColumn("score_limit", F.coalesce("own_limit", above))
     return result.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.when(F.col("lang") != "", F.col("lang")).alias("lang"), "n_bytes",
         F.when(F.col("n_bytes") > 0, F.exp(F.col("loss") / F.col("n_bytes"))).alias("perplexity"), "score", "score_limit",
