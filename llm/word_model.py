@@ -5,8 +5,9 @@ Counting and scoring move packed lists of distinct bigrams, never tokens:
 1. Words. Training words (64-bit hashes, A-Z in lower case) are counted and dealt to buckets by their leading bits. A
    bucket's sorted hashes are an array file; a word's number is its bucket and its place there.
 2. Bigrams. The tasks that read a chunk (an input block) map the word files and list the chunk's distinct bigrams of known
-   words, as pairs of numbers, with their counts in training text. Lists are cut into shards (by the first word, and four
-   ways by the second, so that no frequent word fills a shard), sorted, delta coded and compressed.
+   words, as pairs of numbers, with their counts in training text. Lists are cut into shards (by the first word, and
+   by the second in as many ways as the first word's count asks for, four at least, so that no frequent word fills a
+   shard), sorted, delta coded and compressed.
 3. Model. The task of a shard merges its lists to a sorted array of bigrams and one of counts, stores both as files, maps
    them, and answers every chunk's list with counts. It also sums what the words need: total and kinds of followers by first
    word, number of different predecessors by second word.
@@ -52,7 +53,7 @@ from llm.terms import WORDS, Runs, runs, summed
 BUCKET = 1 << 16  # words of a bucket, on average
 ROOM = 17  # bits of a place in a bucket
 SHARD = 3_000_000  # tokens of a shard, on average
-SPREAD = np.uint64(4)  # shards of a first word
+SPREAD = 4  # ways of a first word's followers at least; a way has at most 1 / SPREAD of a shard's tokens
 PARTS = 4_000_000  # entries gathered before they are merged
 END = np.uint64(0)  # the end token's hash
 START, UNKNOWN = np.int64(2**32 - 1), np.int64(2**32 - 2)  # numbers of no word
@@ -137,10 +138,10 @@ def tokens(found: Runs, texts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """The mapped word files of a model."""
+    """The mapped word files of a model with ``total`` tokens in ``shards`` shards."""
 
-    def __init__(self, folder: str, bits: int) -> None:
-        self.folder, self.bits, self.files = folder, bits, {}
+    def __init__(self, folder: str, bits: int, shards: int, total: int) -> None:
+        self.folder, self.bits, self.shards, self.total, self.files = folder, bits, shards, total, {}
 
     def file(self, kind: str, bucket: int) -> np.ndarray:
         if (kind, bucket) not in self.files:
@@ -192,17 +193,31 @@ def pairs(numbers: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.where((before == UNKNOWN) | (numbers == UNKNOWN), -1, (before << 32) | numbers)  # START's sign bit is of no matter
 
 
-def shard_of(bigrams: np.ndarray, shards: int) -> np.ndarray:
+def spreads(words: Words, firsts: np.ndarray) -> np.ndarray:
+    """In how many ways the followers of each first word are dealt: by its count in training text, so that no way has
+    more than ``1 / SPREAD`` of a shard's tokens on average. A start is counted like the end token."""
+    distinct, back = np.unique(firsts, return_inverse=True)
+    starts = distinct == START
+    counts = np.zeros(len(distinct), np.int64)
+    counts[~starts] = words.look_up("count", distinct[~starts])
+    if starts.any():
+        end = words.numbers(np.array([END]))
+        counts[starts] = words.look_up("count", end)[0] if end[0] != UNKNOWN else 0
+    return np.maximum(SPREAD, -(-SPREAD * words.shards * counts // max(words.total, 1)))[back].astype(np.uint64)
+
+
+def shard_of(words: Words, bigrams: np.ndarray) -> np.ndarray:
     low = (bigrams & 0xFFFFFFFF).astype(np.uint64)
-    first = (bigrams >> 32 & 0xFFFFFFFF).astype(np.uint64)
-    return (mix(first, mix(low, np.uint64(5)) % SPREAD) % np.uint64(shards)).astype(np.int64)
+    first = bigrams >> 32 & 0xFFFFFFFF
+    way = mix(low, np.uint64(5)) % spreads(words, first)
+    return (mix(first.astype(np.uint64), way) % np.uint64(words.shards)).astype(np.int64)
 
 
-def by_shard(bigrams: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+def by_shard(words: Words, bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of sorted bigrams by shard, and the bounds of the shards in it."""
-    of = shard_of(bigrams, shards)
+    of = shard_of(words, bigrams)
     by = np.argsort(of, kind="stable")
-    return by, np.searchsorted(of[by], np.arange(shards + 1))
+    return by, np.searchsorted(of[by], np.arange(words.shards + 1))
 
 
 # ---------------------------------------------------------------- 1. words
@@ -244,10 +259,10 @@ def _store_words(folder: str):
 
 # ---------------------------------------------------------------- 2. bigrams
 
-def _list_pairs(folder: str, bits: int, shards: int):
-    def rows(chunk: str, parts: list) -> pd.DataFrame:
+def _list_pairs(folder: str, bits: int, shards: int, total: int):
+    def rows(words: Words, chunk: str, parts: list) -> pd.DataFrame:
         keys, counts = _merged(parts) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        by, cuts = by_shard(keys, shards)
+        by, cuts = by_shard(words, keys)
         out = []
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
             at = by[cuts[shard]:cuts[shard + 1]]
@@ -255,11 +270,11 @@ def _list_pairs(folder: str, bits: int, shards: int):
         return pd.DataFrame(out, columns=["shard", "chunk", "n", "keys", "counts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, chunk, parts, size = Words(folder, bits), None, [], 0
+        words, chunk, parts, size = Words(folder, bits, shards, total), None, [], 0
         for batch in batches:
             for (this, train), group in batch.groupby(["chunk", "train"], sort=False):
                 if this != chunk and chunk is not None:
-                    yield rows(chunk, parts)
+                    yield rows(words, chunk, parts)
                     parts, size = [], 0
                 chunk = this
                 for numbers, stops in words.of_texts(group["text"].tolist()):
@@ -271,7 +286,7 @@ def _list_pairs(folder: str, bits: int, shards: int):
                         parts = [_merged(parts)]
                         size = len(parts[0][0]) // 2  # merged again when as much is new
         if chunk is not None:
-            yield rows(chunk, parts)
+            yield rows(words, chunk, parts)
     return run
 
 
@@ -332,18 +347,26 @@ def _merge_shard(folder: str):
 # ---------------------------------------------------------------- 4. word tables
 
 def _sum_words(folder: str):
-    """Per bucket: followers, their kinds, and predecessors of its words, in rows of arrays."""
-    def run(key: tuple, frames: list[pd.DataFrame]) -> pd.DataFrame:
-        size = 1 if key[0] < 0 else len(mapped(f"{folder}/hash/{key[0]}.npy"))
-        table = np.zeros((5, size), np.int64)
-        for frame in frames:
-            for kind, n, data in zip(frame["kind"], frame["n"], frame["data"]):
+    """Per bucket: followers, their kinds, and predecessors of its words, in rows of arrays. Rows arrive sorted by bucket and are
+    added one by one, so that only one bucket's sums are held, however many shards there are."""
+    def summary(part: int, table: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"part": [part], "n": [table.shape[1]], "data": [pack(table.ravel())], "total": [int(table[4].sum())],
+                             **{name: [v] for name, v in zip(("ones", "twos", "threes", "fours"), kinds(table[4]))}})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, table = None, None
+        for batch in batches:
+            for part, kind, n, data in zip(batch["part"], batch["kind"], batch["n"], batch["data"]):
+                if part != held:
+                    if table is not None:
+                        yield summary(held, table)
+                    held, table = part, np.zeros((5, 1 if part < 0 else len(mapped(f"{folder}/hash/{part}.npy"))), np.int64)
                 numbers, *columns = pickle.loads(data)
-                at = unpack_sorted(numbers, n) & ((1 << ROOM) - 1) if key[0] >= 0 else np.zeros(n, np.int64)
+                at = unpack_sorted(numbers, n) & ((1 << ROOM) - 1) if part >= 0 else np.zeros(n, np.int64)
                 for row, column in zip(range(4) if kind == FIRST else [4], columns):
                     table[row, at] += unpack(column, np.int64, n)
-        return pd.DataFrame({"part": [key[0]], "n": [size], "data": [pack(table.ravel())], "total": [int(table[4].sum())],
-                             **{name: [v] for name, v in zip(("ones", "twos", "threes", "fours"), kinds(table[4]))}})
+        if table is not None:
+            yield summary(held, table)
     return run
 
 
@@ -387,14 +410,14 @@ def _store_answers(folder: str):
 
 
 def _score(folder: str, bits: int, shards: int, high: list[float], unknown: float, total: int, vocabulary: int):
-    def counts_of(chunk: str, bigrams: np.ndarray) -> np.ndarray:
+    def counts_of(words: Words, chunk: str, bigrams: np.ndarray) -> np.ndarray:
         """The counts of a chunk's distinct bigrams, from its file."""
         counts = np.zeros(len(bigrams), np.int64)
         if not len(bigrams):
             return counts
         with open(chunk_file(folder, chunk), "rb") as held:
             answers = pickle.load(held)
-        by, cuts = by_shard(bigrams, shards)
+        by, cuts = by_shard(words, bigrams)
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
             at = by[cuts[shard]:cuts[shard + 1]]
             n, data = answers.get(shard, (-1, b""))
@@ -425,12 +448,12 @@ def _score(folder: str, bits: int, shards: int, high: list[float], unknown: floa
         found = [np.unique(pairs(numbers.astype(np.int64), stops)) for numbers, stops in parts]
         bigrams = np.unique(np.concatenate(found))
         bigrams = bigrams[bigrams != -1]
-        counts = counts_of(chunk, bigrams)
+        counts = counts_of(words, chunk, bigrams)
         columns = zip(*(scored(words, numbers.astype(np.int64), stops, bigrams, counts) for numbers, stops in parts))
         return pd.DataFrame({"id": names} | dict(zip(("n_tokens", "n_known", "base_score", "score"), map(np.concatenate, columns))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, chunk, names, parts = Words(folder, bits), None, [], []
+        words, chunk, names, parts = Words(folder, bits, shards, total), None, [], []
         for batch in batches:
             for this, group in batch.groupby("chunk", sort=False):
                 if this != chunk and names:
@@ -468,12 +491,12 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
 
     shards = max(1, math.ceil(total / SHARD))
     lists = rows.select("chunk", (~F.col("held_out")).alias("train"), "text").mapInPandas(
-        lean(_list_pairs(folder, bits, shards)), "shard long, chunk string, n long, keys binary, counts binary")
+        lean(_list_pairs(folder, bits, shards, total)), "shard long, chunk string, n long, keys binary, counts binary")
     made = durable(dealt(lists, "shard", "chunk").mapInPandas(lean(in_groups(_merge_shard(folder), "shard")), MADE), "model")
     n = made.filter(F.col("kind") == KINDS).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("ones", "twos", "threes", "fours", "n"))).first()
     high, all_bigrams = discounts(*n[:4]), n[4]
     tables = durable(dealt(made.filter(F.col("kind").isin(FIRST, SECOND)).select("part", "kind", "n", "data"), "part").mapInPandas(
-        lean(in_groups(_sum_words(folder), "part")),
+        lean(_sum_words(folder)),
         "part long, n long, data binary, total long, ones long, twos long, threes long, fours long"), "tables")
     k = tables.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("ones", "twos", "threes", "fours"))).first()
     low = discounts(*k)
