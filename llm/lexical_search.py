@@ -5,7 +5,8 @@ blocks; in a block the vectors, in the order of falling document frequency of th
 FP-tree, whose runs of only children are one edge). Each node knows the largest tf that its subtree has of each term, and
 the smallest length factor m. The score of a document is growing in tf and falling in m, so both bound a subtree. Each item
 walks the trie depth first, best child first, and leaves out what is bounded below its ``k``-th best score; a leaf holds a
-few documents, which are scored exactly. A task goes on with the scores of its earlier blocks. What tasks send on are
+few documents, which are scored exactly. The largest tfs are a table of subtrees
+x terms, held to ``CELLS`` by larger leaves. A task goes on with the scores of its earlier blocks. What tasks send on are
 ``k`` documents an item, and a window takes the best of these.
 
     m = 10 + (90 * n * N) div L,     score = sum over the item's terms of w * ((10^9 * tf) div (1000 * tf + 8 * m))
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 from llm.common import durable, lean
 from llm.terms import ALNUM, runs
 
-BLOCK_ITEMS, BLOCK_CHARS = 2000, 4_000_000
+BLOCK_ITEMS, BLOCK_CHARS = 2000, 1_000_000
 DOCS, POSTINGS = 16_384, 2_000_000  # of a tree
 LEAF = 48  # documents below which a subtree is not divided
+CELLS = 1 << 26  # largest tfs of a tree (subtrees x terms); a tree with more gets larger leaves
 NO_ID = 2**63 - 1
 
 
@@ -76,13 +78,21 @@ class Tree:
         self.start = np.append(0, np.cumsum(sizes))
         self.term, self.tf = np.concatenate(terms).astype(np.int64), np.concatenate(tfs).astype(np.int64)
         self.doc = np.repeat(np.arange(len(terms)), sizes)
-        # nodes: an interval of documents each, in order of creation, so parents come before children
-        self.low, self.high, parents, self.children = [0], [len(ids)], [-1], [[]]
+        leaf = LEAF
+        parents = self._divide(paths, leaf)
+        while 1 < len(parents) and len(parents) * width > CELLS:
+            leaf *= 2
+            parents = self._divide(paths, leaf)
+        self._summarise(np.array(parents), width)
+
+    def _divide(self, paths: list[bytes], leaf: int) -> list[int]:
+        """Nodes: an interval of documents each, in order of creation, so parents come before children. Returns the parents."""
+        self.low, self.high, parents, self.children = [0], [len(paths)], [-1], [[]]
         todo = [(0, 0)]
         while todo:
             node, depth = todo.pop()
             low, high = self.low[node], self.high[node]
-            if high - low <= LEAF or paths[low] == paths[high - 1]:
+            if high - low <= leaf or paths[low] == paths[high - 1]:
                 continue
             a, b = paths[low], paths[high - 1]
             while depth < len(a) and a[depth:depth + 4] == b[depth:depth + 4]:  # an edge may hold several terms
@@ -99,7 +109,7 @@ class Tree:
                 self.children[node].append(child)
                 todo.append((child, depth + 4 if len(head) == depth + 4 else depth))
                 at = end
-        self._summarise(np.array(parents), width)
+        return parents
 
     def _summarise(self, parents: np.ndarray, width: int) -> None:
         """Largest tf of each term, smallest m, of each subtree."""

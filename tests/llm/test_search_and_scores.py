@@ -104,6 +104,23 @@ def test_tree_bounds_and_pruning(monkeypatch):
             assert list(zip(scores.tolist(), found.tolist())) == [(-s, i) for s, i in want]
 
 
+def test_tree_table_is_bounded(monkeypatch):
+    """Where subtrees x terms would be too many, leaves grow; a single node always fits."""
+    rng = np.random.default_rng(6)
+    width, ids = 200, np.arange(500)
+    terms = [np.sort(rng.choice(width, 5, False)) for _ in ids]
+    tfs = [np.ones(5, np.int64)] * len(ids)
+    m, none = np.full(len(ids), 50), np.zeros(0, np.int64)
+    own, place = np.arange(6), np.append(np.arange(6), np.full(width - 6, -1))
+    found = []
+    for cells in (1 << 26, 20 * width, 1):
+        monkeypatch.setattr(lexical_search, "CELLS", cells)
+        tree = lexical_search.Tree(ids, m, terms, tfs, width)
+        assert tree.top.size <= cells or len(tree.top) == 1
+        found.append([x.tolist() for x in tree.best(own, np.full(6, 100), place, 10, (none, none))])
+    assert found[0] == found[1] == found[2] and len(found[0][0]) == 10
+
+
 # ---------------------------------------------------------------- word model
 
 def plain_scores(rows):
@@ -153,6 +170,25 @@ def test_word_model(spark, monkeypatch, bucket, shard):
         assert abs(sum(p(a, b) for b in [*count, "never seen"]) - 1) < 1e-9
 
 
+def test_frequent_first_words_are_spread():
+    """A word with a third or more of all tokens does not fill a shard, nor do the starts of texts."""
+    class Counts(word_model.Words):
+        def numbers(self, hashes):
+            return np.full(len(hashes), 1)
+
+        def look_up(self, kind, numbers):
+            return np.array([100_000, 60_000, 3])[numbers]
+
+    words = Counts("", 0, 20, 200_000)
+    starts = word_model.START << 32
+    hot = np.concatenate([np.arange(1000, 101_000), starts | np.arange(1000, 61_000), (2 << 32) | np.arange(1000, 1003)])
+    assert sorted(set(word_model.spreads(words, hot >> 32 & 0xFFFFFFFF).tolist())) == [4, 24, 40]
+    by, cuts = word_model.by_shard(words, hot)
+    assert sorted(by.tolist()) == list(range(len(hot))) and cuts[-1] == len(hot)
+    assert np.diff(cuts).max() < 3 * len(hot) / 20
+    assert len(word_model.by_shard(words, hot[:0])[0]) == 0
+
+
 def test_word_model_learns(spark):
     docs = documents(spark, 400, 2)
     rows = word_model.score_texts(docs, F.col("doc_id") % 5 == 1).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
