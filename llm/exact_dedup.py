@@ -1,11 +1,12 @@
 """Exact deduplication: equal texts find their owner in Patricia tries over whole byte strings.
 
 1. Each task inserts the normalised texts of its rows into tries, so that copies it holds meet before any shuffle. One
-   row a task and text (a local owner) goes on with the text, its best document and a count; every document remembers
-   its local owner.
-2. The local owners are dealt out by byte length and content hash. Tasks insert the full byte strings into one trie a
-   partition; a terminal node keeps the best document so far and the count. A trie over ``SPILL_BYTES`` spills its
-   largest subtrees: their entries go to a scratch file of the task and are inserted again, subtree by subtree.
+   row a task and text (a local owner) goes on with the text, its best document and a count, both known when the task
+   gives the trie up; every document remembers its local owner.
+2. The local owners are dealt out by byte length and content hash, the only shuffle of texts. Tasks insert the full byte
+   strings into one trie a partition; a terminal node keeps the best document so far and the count. A trie over
+   ``SPILL_BYTES`` spills its largest subtrees: their entries go to a scratch file of the task and are inserted again,
+   subtree by subtree.
 3. Documents join their local owner's result. A group of any size is spread over the tasks that read it, and each of
    them sends one copy of the text.
 
@@ -29,6 +30,13 @@ from llm.common import SPACES, durable, lean
 
 SPILL_BYTES = 96_000_000
 LOCAL_BYTES = 48_000_000
+#: What an entry of a local trie takes besides its text, and the texts that a task hands on at once.
+ENTRY_BYTES = 300
+SLICE_BYTES = 4_000_000
+
+#: Documents (n is 0), and local owners with their text, best row and number of rows.
+LOCAL = "id long, none boolean, sha string, owner long, row long, points long, text binary, n long"
+FOUND = "owner long, keep_id long, keep_none boolean, keep_row long, group_size long"
 
 
 class Node:
@@ -91,24 +99,39 @@ class Trie:
 
 
 def _local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every row with the number of its text in this task; the first row of a text carries the text.
+    """Every row with the number of its text in this task (its local owner), and every local owner once.
 
     A full trie is given up and a new one begun: a text may then have several local owners, which meet later."""
     from pyspark import TaskContext
 
     base = TaskContext.get().partitionId() << 40
-    number, rows, trie = count(base), count(base), Trie()
+    number, rows, trie, made = count(base), count(base), Trie(), 0
     for batch in batches:
-        texts, owners = [], []
-        for text in batch["text"]:
-            data = text.encode("utf-8", "surrogatepass")
-            fresh: list[int] = []
-            owners.append(trie.insert(data, lambda: fresh.append(next(number)) or fresh[0]))
-            texts.append(data if fresh else None)
-        if trie.bytes > LOCAL_BYTES:
-            trie = Trie()
-        yield pd.DataFrame({"id": batch["id"].astype("Int64"), "points": batch["points"], "sha": batch["sha"], "owner": owners,
-                            "row": [next(rows) for _ in owners], "text": texts})
+        owners, places = [], []
+        for text, points, none, doc in zip(batch["text"], batch["points"].tolist(), batch["none"].tolist(), batch["id"].tolist()):
+            row = (-points, none, doc, next(rows))
+            entry = trie.insert(text.encode("utf-8", "surrogatepass"), lambda: [next(number), row, 0])
+            entry[1], entry[2] = min(entry[1], row), entry[2] + 1
+            made += entry[2] == 1
+            owners.append(entry[0])
+            places.append(row[3])
+        yield batch.assign(owner=owners, row=places, text=None, n=0)
+        if trie.bytes + ENTRY_BYTES * made > LOCAL_BYTES:
+            yield from _given_up(trie)
+            trie, made = Trie(), 0
+    yield from _given_up(trie)
+
+
+def _given_up(trie: Trie) -> Iterator[pd.DataFrame]:
+    """The local owners of a trie, in slices."""
+    out, size = [], 0
+    for text, (owner, (points, none, doc, row), n) in trie.items():
+        out.append((doc, none, None, owner, row, -points, text, n))
+        size += len(text) + ENTRY_BYTES
+        if size > SLICE_BYTES:
+            yield _frame(out, LOCAL)
+            out, size = [], 0
+    yield _frame(out, LOCAL)
 
 
 def _grouped(rows: Iterator[tuple[bytes, list]], limit: int) -> Iterator[list]:
@@ -162,42 +185,37 @@ def _owners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each local owner, the best row of its text and the size of the text's group."""
     def rows():
         for batch in batches:
-            ids = [None if pd.isna(i) else int(i) for i in batch["id"]]
-            for text, owner, points, doc, row, n in zip(batch["text"], batch["owner"].tolist(), batch["points"].tolist(), ids,
-                                                        batch["row"].tolist(), batch["n"].tolist()):
-                yield text, [(owner, (-points, doc is None, doc or 0, row), n)]
+            for text, owner, points, none, doc, row, n in zip(batch["text"], *(batch[c].tolist() for c in (
+                    "owner", "points", "none", "id", "row", "n"))):
+                yield text, [(owner, (-points, none, doc, row), n)]
 
     out: list[tuple] = []
     for group in _grouped(rows(), SPILL_BYTES):
-        _, null, doc, row = min(best for _, best, _ in group)
+        _, none, doc, row = min(best for _, best, _ in group)
         total = sum(n for _, _, n in group)
-        out += ((owner, None if null else doc, row, total) for owner, _, _ in group)
+        out += ((owner, doc, none, row, total) for owner, _, _ in group)
         if len(out) > 50_000:
-            yield _frame(out)
+            yield _frame(out, FOUND)
             out = []
-    yield _frame(out)
+    yield _frame(out, FOUND)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    kinds = {"owner": "int64", "keep_id": "Int64", "keep_row": "int64", "group_size": "int64"}
-    return pd.DataFrame(rows, columns=[*kinds]).astype(kinds)
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    kinds = dict(c.split(" ") for c in schema.split(", "))
+    as_numpy = {"long": "int64", "boolean": "bool", "string": "object", "binary": "object"}
+    return pd.DataFrame(rows, columns=[*kinds]).astype({c: as_numpy[k] for c, k in kinds.items()})
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row per row of ``docs``. Ids are whole numbers."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = F.translate(text, SPACES, "")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.length(text).cast("long").alias("points"),
+    number = F.col(id_col).cast("long")  # a null goes as a flag: a column of numbers and nulls comes to tasks as doubles
+    rows = docs.select(F.coalesce(number, F.lit(0)).alias("id"), number.isNull().alias("none"), F.length(text).cast("long").alias("points"),
                        F.sha2(plain, 256).alias("sha"), plain.alias("text"))
-    local = durable(rows.mapInPandas(
-        lean(_local), "id long, points long, sha string, owner long, row long, text binary"), "dedup")
-    # the best row of each local owner, without the texts
-    order = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("row").alias("r"))
-    best = local.groupBy("owner").agg(F.min(order).alias("best"), F.count("*").alias("n"))
-    sent = local.filter(F.col("text").isNotNull()).select("owner", "text").join(best, "owner").select(
-        "owner", "text", (-F.col("best.p")).alias("points"), F.col("best.i").alias("id"), F.col("best.r").alias("row"), "n")
-    found = sent.repartition(F.length("text"), F.xxhash64("text")).mapInPandas(
-        lean(_owners), "owner long, keep_id long, keep_row long, group_size long")
-    return local.select("id", "sha", "owner", "row").join(found, "owner").select(
-        F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
-        F.col("sha").alias("text_sha256"))
+    local = durable(rows.mapInPandas(lean(_local), LOCAL), "dedup")
+    found = local.filter("n > 0").select("owner", "text", "points", "none", "id", "row", "n").repartition(
+        F.length("text"), F.xxhash64("text")).mapInPandas(lean(_owners), FOUND)
+    return local.filter("n = 0").select("id", "none", "sha", "owner", "row").join(found, "owner").select(
+        F.when(~F.col("none"), F.col("id")).alias(id_col), F.when(~F.col("keep_none"), F.col("keep_id")).alias("keep_id"), "group_size",
+        (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"))

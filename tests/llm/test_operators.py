@@ -231,6 +231,48 @@ def test_exact_dedup(docs, rows, empty):
     assert exact_dedup.exact_groups(empty).count() == 0
 
 
+def test_exact_dedup_large_ids_beside_null(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, "a b"), (None, "a b"), (big + 1, "a  b"), (None, "c"), (-big, "c")], "doc_id long, text string")
+    got = _bag((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(df.coalesce(1)).collect())
+    assert got == _bag([(big, big + 1, 3, False), (None, big + 1, 3, False), (big + 1, big + 1, 3, True), (None, -big, 2, False),
+                        (-big, -big, 2, True)])
+
+
+def test_exact_dedup_shuffles_texts_once(spark, docs):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark._jvm.PythonSQLUtils.explainString(exact_dedup.exact_groups(docs)._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    dealt = re.findall(r"^\(\d+\) Exchange.*\nInput.*: (.*)$", plan, re.M)
+    assert len(dealt) >= 3 and sum("text#" in columns for columns in dealt) == 1
+
+
+def test_exact_dedup_gives_up_full_tries(monkeypatch):
+    import pandas as pd
+    import pyspark
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab\ud800é") for _ in range(rng.randint(0, 4))) for _ in range(900)]
+    rows = pd.DataFrame({"id": [i % 7 for i in range(900)], "none": [i % 7 == 0 for i in range(900)], "sha": "s",
+                         "points": [i % 5 for i in range(900)], "text": texts})
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: type("At", (), {"partitionId": lambda self: 3})())
+    monkeypatch.setattr(exact_dedup, "SLICE_BYTES", 2000)
+    for limit, several in ((20_000, True), (10**9, False)):
+        monkeypatch.setattr(exact_dedup, "LOCAL_BYTES", limit)
+        out = pd.concat([*exact_dedup._local(iter([rows[k:k + 100] for k in range(0, 900, 100)]))])
+        members, owners = out[out.n == 0], out[out.n > 0].set_index("owner")
+        assert len(members) == 900 and owners.index.is_unique and {*members.owner} == {*owners.index}
+        assert (len(owners) > len({*texts})) == several
+        held = defaultdict(list)
+        for text, r in zip(texts, members.itertuples()):
+            assert owners.text[r.owner] == text.encode("utf-8", "surrogatepass")
+            held[r.owner].append((-r.points, r.none, r.id, r.row))
+        assert all((-o.points, o.none, o.id, o.row, o.n) == (*min(held[k]), len(held[k])) for k, o in owners.iterrows())
+
+
 def test_trie_spills_subtrees():
     rng = random.Random(3)
     texts = [b"common start " + bytes(rng.choice(b"ab\xff") for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [b"", b"c"]

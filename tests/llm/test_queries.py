@@ -85,3 +85,24 @@ def test_pipeline_decides_rows_not_ids(spark, tmp_path):
     assert sum(t in near for t in (rows[2]["text"], rows[-1]["text"])) == 1
     mixed = corpus_pipeline.source_mix(spark, more, SF)
     assert mixed.columns == more.columns and mixed.count() > 0
+
+
+def test_pipeline_exact_copies_shuffle_documents_once(spark, tmp_path):
+    """Texts are dealt out twice, by the operator and to keep its choice; rows with null or shared ids leave one of each text."""
+    schema = table(spark, SF, "documents").schema
+    texts = [(1, "a b"), (1, "a b"), (1, "ab"), (None, "a  b"), (None, "a  b"), (2, "a  b"), (None, "c"), (None, " c"), (0, None), (None, ""),
+             (None, " "), (0, "d")]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], schema).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.exact_copies(spark, docs, SF)
+        plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+        rows = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, [(2, "a  b"), (None, " c"), (None, " "), (0, "d")]))
+    dealt = re.findall(r"^\(\d+\) Exchange.*\nInput.*: (.*)$", plan, re.M)
+    assert len(dealt) >= 4 and sum("text#" in columns for columns in dealt) == 2
