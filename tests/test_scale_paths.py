@@ -47,6 +47,23 @@ def test_salted_lookup_equals_join(spark, how):
     assert got == sorted(map(tuple, fact.join(lookup, "k", how).collect()), key=str)
 
 
+def test_salted_lookup_broadcasts_no_copies_by_the_estimate_of_one(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS k", "id % 7 AS t").write.parquet(f"{tmp_path}/lookup")
+    lookup, fact = spark.read.parquet(f"{tmp_path}/lookup"), spark.range(100).selectExpr("id AS k", "id AS v")
+    fact = fact.unionByName(fact)
+    size = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    planned = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 4 * size)
+        assert "BroadcastHashJoin" in planned(fact.join(lookup, "k", "left"))
+        joined = salted_lookup(fact, lookup, "k", "v")
+        assert "BroadcastHashJoin" not in planned(joined)  # 16 copies are more than four times one
+        assert sorted(map(tuple, joined.collect())) == sorted((i, i, i % 7) for i in range(100) for _ in range(2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_average_rank_by_value(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate([5, 3, 3, 9, 3])], "g string, k int, v int")
     got = {x.k: x.r for x in average_rank_by_value(df, "g", "v", "k", "r").collect()}
