@@ -31,6 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ PRIOR = 300
 QUANTILE, SPREAD = 0.9, 5.0
 HELD_OUT = 5
 SLICE = 1_000_000  # bytes worked on at once
+PART = 4_000_000  # bytes of text that become Python objects at once
 PAYLOAD = 8_000_000  # bytes of text in one compressed row
 BROADCAST_ROWS = 1_000_000  # labels of up to so many documents are copied to all tasks, others are joined
 BROADCAST_LANGUAGES = 100_000  # tables of up to so many languages are copied, too
@@ -58,6 +61,14 @@ def gram_keys(texts: list[bytes], order: int) -> np.ndarray:
     return keys[real[:len(keys)]]
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """The batches' rows, a few at a time: a whole batch of texts would stand in memory twice."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).to_numpy(zero_copy_only=False)
+        for a, b in slices(sizes.astype(np.int64), PART):
+            yield batch.slice(a, b - a).to_pandas()
+
+
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(back, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
@@ -65,14 +76,16 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def _gram_rows(order: int):
     """Distinct n-grams of each chunk and language, with their counts in trusted text."""
-    def rows(chunk: str, held: dict) -> Iterator[pd.DataFrame]:
+    def rows(chunk: str, held: dict) -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
             keys, counts = _merge(parts)
-            yield pd.DataFrame({"chunk": chunk, "lang": lang, "gram": keys, "count": counts})
+            n = len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]).take(pa.array(np.zeros(n, np.int32))), pa.array([lang]).take(pa.array(np.zeros(n, np.int32))),
+                                              pa.array(keys), pa.array(counts)], ["chunk", "lang", "gram", "count"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = None, defaultdict(list)
-        for batch in batches:
+        for batch in _in_parts(batches):
             for (this, lang, train), group in batch.groupby(["chunk", "lang", "train"], sort=False):
                 if this != chunk:
                     yield from rows(chunk, held)
@@ -139,35 +152,60 @@ def probabilities(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -
     return lower
 
 
-def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of a chunk, compressed together; the rows of one language stand next to each other."""
     import pickle
 
     import zstandard
 
     packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        for (chunk, lang), group in batch.groupby(["chunk", "lang"], sort=False):
-            names, texts, marks = group["id"].tolist(), group["text"].tolist(), group["mark"].tolist()
+
+    def row(chunk: str, lang: str, names: list, marks: list, texts: list) -> pa.RecordBatch:
+        data = packer.compress(pickle.dumps((names, marks, texts)))
+        return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([lang]), pa.array([data], pa.binary())], ["chunk", "lang", "data"])
+
+    chunk, held = None, {}
+    for batch in _in_parts(batches):
+        for (this, lang), group in batch.groupby(["chunk", "lang"], sort=False):
+            if this != chunk:
+                for key, (_, *lists) in held.items():
+                    yield row(chunk, key, *lists)
+                chunk, held = this, {}
+            texts, marks = group["text"].tolist(), group["mark"].tolist()
+            names = group["id"].tolist()
             for a, b in slices(np.array([len(t) for t in texts], np.int64), PAYLOAD):
-                data = pickle.dumps((names[a:b], marks[a:b], texts[a:b]))
-                yield pd.DataFrame({"chunk": [chunk], "lang": [lang], "data": [packer.compress(data)]})
+                size = sum(map(len, texts[a:b]))
+                if lang in held and held[lang][0] + size > PAYLOAD:
+                    yield row(chunk, lang, *held.pop(lang)[1:])
+                total, *lists = held.get(lang, (0, [], [], []))
+                for have, more in zip(lists, (names[a:b], marks[a:b], texts[a:b])):
+                    have += more
+                held[lang] = (total + size, *lists)
+    for key, (_, *lists) in held.items():
+        yield row(chunk, key, *lists)
 
 
 def _scores(order: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def own(column: pa.ListArray, at: int, kind: type) -> np.ndarray:
+        """A view of one row's list; a chunk of empty texts has none."""
+        if not column[at].is_valid:
+            return np.zeros(0, kind)
+        return column.values.slice(column.offsets[at].as_py(), column.offsets[at + 1].as_py() - column.offsets[at].as_py()).to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
 
         import zstandard
 
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            for lang, data, grams, logs in zip(batch["lang"], batch["data"], batch["grams"], batch["logs"]):
-                names, marks, texts = pickle.loads(opener.decompress(data))
-                # a chunk of empty texts has no list
-                grams, logs = np.asarray([] if grams is None else grams, np.int64), np.asarray([] if logs is None else logs, np.float64)
+            langs, packed, all_grams, all_logs = (batch.column(batch.schema.get_field_index(c)) for c in ("lang", "data", "grams", "logs"))
+            for at_row in range(batch.num_rows):
+                names, marks, texts = pickle.loads(opener.decompress(packed[at_row].as_buffer()))
+                grams, logs = own(all_grams, at_row, np.int64), own(all_logs, at_row, np.float32)
                 by = np.argsort(grams)
-                grams, logs = grams[by], logs[by]
+                grams, logs = grams[by], logs[by].astype(np.float64)
+                del by
                 sums = []
                 for a, b in slices(np.array([len(t) for t in texts], np.int64), SLICE):
                     keys = gram_keys(texts[a:b], order)
@@ -177,8 +215,11 @@ def _scores(order: int):
                     before = np.append(0.0, np.cumsum(logs[at]))
                     ends = np.cumsum([len(t) for t in texts[a:b]])
                     sums.append(np.diff(before[np.append(0, ends)]))
-                yield pd.DataFrame({"id": names, "lang": lang, "mark": marks, "n_bytes": [len(t) for t in texts],
-                                    "loss": -np.concatenate(sums) if sums else []})
+                n = len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array([langs[at_row].as_py()] * n, pa.string()), pa.array(marks, pa.int32()),
+                     pa.array([len(t) for t in texts], pa.int64()), pa.array(-np.concatenate(sums) if sums else np.zeros(0), pa.float64())],
+                    ["id", "lang", "mark", "n_bytes", "loss"])
     return run
 
 
@@ -201,7 +242,7 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
     rows = rows.join(marks, F.col("id") == F.col("label_id"), "left").select(
         "id", "lang", "text", "chunk", F.coalesce("mark", F.lit(0)).alias("mark"))
 
-    grams = durable(rows.select("chunk", "lang", (F.col("mark") == 1).alias("train"), "text").mapInPandas(
+    grams = durable(rows.select("chunk", "lang", (F.col("mark") == 1).alias("train"), "text").mapInArrow(
         lean(_gram_rows(order)), "chunk string, lang string, gram long, count long"), "grams")
     counts = durable(grams.groupBy("lang", "gram").agg(F.sum("count").alias("c")), "counts")
     tables = model_tables(counts.filter("c > 0"), order)
@@ -209,8 +250,8 @@ def perplexity(docs: DataFrame, labels: DataFrame, trusted: Column, order: int =
     lists = grams.select("chunk", "lang", "gram").join(p, ["lang", "gram"]).groupBy("chunk", "lang").agg(
         F.collect_list(F.struct("gram", F.log("p").cast("float").alias("log"))).alias("g")).select(
         "chunk", "lang", F.col("g.gram").alias("grams"), F.col("g.log").alias("logs"))
-    packed = rows.select("id", "lang", "chunk", "mark", "text").mapInPandas(lean(_payload), "chunk string, lang string, data binary")
-    scored = packed.join(lists, ["chunk", "lang"], "left").select("lang", "data", "grams", "logs").mapInPandas(
+    packed = rows.select("id", "lang", "chunk", "mark", "text").mapInArrow(lean(_payload), "chunk string, lang string, data binary")
+    scored = packed.join(lists, ["chunk", "lang"], "left").select("lang", "data", "grams", "logs").mapInArrow(
         lean(_scores(order)), "id string, lang string, mark int, n_bytes long, loss double")
     scored = durable(scored, "scores")
 

@@ -513,3 +513,29 @@ def test_kneser_ney(spark, docs, rows, empty):
     assert [r[2] for r in have] == pytest.approx([r[2] for r in want], rel=1e-6)  # logarithms travel in single precision
     assert not any(r.kept for r in got if not r.n_bytes)
     assert kneser_ney.perplexity(empty, labels, F.col("quality") == 1).count() == 0
+
+
+def test_kneser_ney_takes_a_batch_apart():
+    import pickle
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    rng = np.random.default_rng(5)
+    words = rng.integers(97, 123, (4000, 5), np.uint8)
+    texts = [words[rng.integers(0, 4000, 3000)].tobytes() for _ in range(4000)]  # 60 MB in one batch
+    size = sum(map(len, texts))
+    batch = pa.RecordBatch.from_pydict({
+        "id": [str(i) for i in range(4000)], "lang": ["en", "de"] * 2000, "chunk": ["a"] * 4000, "mark": [1] * 4000, "train": [True] * 4000, "text": texts})
+    tracemalloc.start()
+    counts = sum(sum(b.column(3).to_pylist()) for b in kneser_ney._gram_rows(2)(iter([batch])))
+    rows = list(kneser_ney._payload(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 0.9 * size  # texts as objects alone would be all of it
+    assert counts == size
+    opened = [pickle.loads(zstandard.ZstdDecompressor().decompress(r.column(2)[0].as_py())) for r in rows]
+    assert sorted((int(i), t) for names, _, held in opened for i, t in zip(names, held)) == list(enumerate(texts))
+    assert len(rows) <= size / kneser_ney.PAYLOAD + 4  # a row is joined to its chunk's whole list
+    assert all(sum(map(len, held)) <= kneser_ney.PAYLOAD for _, _, held in opened)
